@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import documents
 from .exact_dedup import exact_dedup
+from .minhash import near_duplicates
 from .mixing import mix
 from .packing import pack
 from .resharding import reshard
@@ -14,6 +15,10 @@ from .resharding import reshard
 OLD_SHARDS, SHARDS = 32, 40
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir), k=3, percent=85)
+
+
 def op2_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From 32 shards by a hash of the id to 40 of near equal bytes."""
     placed, _ = reshard(documents(spark, sf_dir), F.pmod(F.xxhash64("doc_id"), F.lit(OLD_SHARDS)), OLD_SHARDS, SHARDS)
@@ -33,7 +38,7 @@ def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "mix_tokens", "mix_weight", "mix_budget", "mix_copies")
 
 
-QUERIES = {f.__name__: f for f in (op2_reshard, op3_best_fit_packing, op6_exact_dedup, op10_temperature_mixing)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_reshard, op3_best_fit_packing, op6_exact_dedup, op10_temperature_mixing)}
 
 ORACLES = {
     "op6_exact_dedup": r"""
