@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 from .common import SPACE, fresh_dir, text_or_empty, written
 
-PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on the executors' disks. Without fallocate a partition takes the disk it needs, not some MB for its logs at once.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normal(text: Column) -> Column:
@@ -37,9 +41,9 @@ def absorb(spark: SparkSession, table: str, state: str, id_col: str = "doc_id",
     text = F.coalesce(F.col(text_col), F.lit(""))
     slim = rows.select(of(normal(text)).alias("digest"), F.struct(F.char_length(text).alias("code_points"), (-F.col(id_col)).alias("minus_id"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")).alias("best"))
     found = slim.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"), F.max("best").alias("best"))
-    key = "spark.sql.streaming.stateStore.providerClass"
-    was = spark.conf.get(key)
-    spark.conf.set(key, PROVIDER)
+    was = {key: spark.conf.get(key, None) for key in STATE}
+    for key, value in STATE.items():
+        spark.conf.set(key, value)
     try:
         found.writeStream.outputMode("update").format("noop").option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
         # the stored value is the aggregation buffer, (count, best); its field names are Spark's own, so they go by place
@@ -47,7 +51,8 @@ def absorb(spark: SparkSession, table: str, state: str, id_col: str = "doc_id",
         count, best = (F.col(f"value.`{f.name}`") for f in stored.schema["value"].dataType.fields)
         return written(stored.select(F.col("key.digest").alias("digest"), count.alias("group_size"), best.alias("best")), "state").select("digest", "group_size", "best.code_points", (-F.col("best.minus_id")).alias("keep_id"), "best.file", "best.row")
     finally:
-        spark.conf.set(key, was)
+        for key, value in was.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def exact_dedup(spark: SparkSession, table: str, id_col: str = "doc_id", text_col: str = "text", of: Callable[[Column], Column] = digest, state: str | None = None) -> DataFrame:
