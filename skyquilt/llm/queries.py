@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, fold
 from .exact_dedup import exact_dedup
+from .langid import identify, learn
 from .minhash import near_duplicates
 from .mixing import mix
 from .packing import pack
 from .resharding import reshard
+from .secrets import learn as learn_secrets
+from .secrets import scan
 
 OLD_SHARDS, SHARDS = 32, 40
 
@@ -33,12 +36,23 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(spark, f"{sf_dir}/documents.parquet")
 
 
+def op7_crf_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return scan(docs, learn_secrets(docs))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).withColumn("held_out", fold(F.col("doc_id"), 5) == 0)
+    found = identify(docs.select("doc_id", "held_out", "text"), learn(docs.where("not held_out")))
+    return found.select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"), F.col("lang_phrases").alias("phrases"))
+
+
 def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(documents(spark, sf_dir))
     return mixed.select("doc_id", "source", "mix_tokens", "mix_weight", "mix_budget", "mix_copies")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_reshard, op3_best_fit_packing, op6_exact_dedup, op10_temperature_mixing)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_reshard, op3_best_fit_packing, op6_exact_dedup, op7_crf_secrets, op9_language_id, op10_temperature_mixing)}
 
 ORACLES = {
     "op6_exact_dedup": r"""

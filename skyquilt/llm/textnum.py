@@ -41,20 +41,26 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def word_hashes(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word with A-Z in lower case, index of the first word of each text and the number of words)."""
-    data = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-    buf = np.frombuffer(b" ".join(data) + b" ", np.uint8)
-    space = _SPACE[buf]
-    edge = np.flatnonzero(np.diff(space, prepend=True))  # starts and ends of words in turn
-    starts, ends = edge[::2], edge[1::2]
-    size = 1 << max(20, int(len(buf)).bit_length())
-    power, inverse = _powers(size)
-    total = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(_BYTE[_LOWER[buf]] * power[: len(buf)], out=total[1:])
-    words = mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
-    begin = np.concatenate([[0], np.cumsum([len(d) + 1 for d in data])])
-    return words, np.searchsorted(starts, begin)
+class Words:
+    """The words of many texts in one buffer: start and end of each (bytes), its hash, and where each text begins."""
+
+    def __init__(self, texts: Sequence[str | None]) -> None:
+        data = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+        self.raw = b" ".join(data) + b" "
+        buf = np.frombuffer(self.raw, np.uint8)
+        self.low = _LOWER[buf]
+        edge = np.flatnonzero(np.diff(_SPACE[buf], prepend=True))  # starts and ends of words in turn
+        self.starts, self.ends = edge[::2], edge[1::2]
+        self.begin = np.concatenate([[0], np.cumsum([len(d) + 1 for d in data])])
+        self.first = np.searchsorted(self.starts, self.begin)  # of the words; the last entry is their number
+
+    def hashes(self) -> np.ndarray:
+        """Of each word, with A-Z in lower case."""
+        n = len(self.low)
+        power, inverse = _powers(1 << max(20, n.bit_length()))
+        total = np.zeros(n + 1, np.uint64)
+        np.cumsum(_BYTE[self.low] * power[:n], out=total[1:])
+        return mix((total[self.ends] - total[self.starts]) * inverse[self.starts] + (self.ends - self.starts).astype(np.uint64))
 
 
 def chunks(texts: Sequence[str | None], chars: int = 1 << 20) -> Iterator[tuple[int, int]]:
@@ -73,7 +79,8 @@ def shingle_sets(texts: Sequence[str | None], k: int) -> Iterator[np.ndarray]:
     """For each text the sorted distinct hashes of its runs of k words; of the whole sequence if it has fewer, none without words."""
     factor = constants(k, 29)
     for a, b in chunks(texts):
-        words, first = word_hashes(texts[a:b])
+        own = Words(texts[a:b])
+        words, first = own.hashes(), own.first
         runs = np.zeros(max(0, len(words) - k + 1), np.uint64)
         for j in range(k):
             runs += words[j : j + len(runs)] * factor[j]
