@@ -11,6 +11,7 @@ from .langid import identify, learn
 from .minhash import near_duplicates
 from .mixing import mix
 from .packing import pack
+from .quality import judge
 from .resharding import reshard
 from .secrets import learn as learn_secrets
 from .secrets import scan
@@ -32,6 +33,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(documents(spark, sf_dir)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior", "votes")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(spark, f"{sf_dir}/documents.parquet")
 
@@ -52,7 +57,7 @@ def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "mix_tokens", "mix_weight", "mix_budget", "mix_copies")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_reshard, op3_best_fit_packing, op6_exact_dedup, op7_crf_secrets, op9_language_id, op10_temperature_mixing)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_reshard, op3_best_fit_packing, op4_quality_rules, op6_exact_dedup, op7_crf_secrets, op9_language_id, op10_temperature_mixing)}
 
 ORACLES = {
     "op6_exact_dedup": r"""
