@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .common import documents, fold
 from .exact_dedup import exact_dedup
 from .langid import identify, learn
+from .lm import score
 from .minhash import near_duplicates
 from .mixing import mix
 from .packing import pack
@@ -46,6 +47,10 @@ def op7_crf_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(docs, learn_secrets(docs))
 
 
+def op8_gru_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(documents(spark, sf_dir))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).withColumn("held_out", fold(F.col("doc_id"), 5) == 0)
     found = identify(docs.select("doc_id", "held_out", "text"), learn(docs.where("not held_out")))
@@ -57,7 +62,7 @@ def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "mix_tokens", "mix_weight", "mix_budget", "mix_copies")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_reshard, op3_best_fit_packing, op4_quality_rules, op6_exact_dedup, op7_crf_secrets, op9_language_id, op10_temperature_mixing)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_reshard, op3_best_fit_packing, op4_quality_rules, op6_exact_dedup, op7_crf_secrets, op8_gru_scoring, op9_language_id, op10_temperature_mixing)}
 
 ORACLES = {
     "op6_exact_dedup": r"""
