@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .common import documents, fold
 from .exact_dedup import exact_dedup
 from .langid import identify, learn
+from .line_dedup import line_decisions
 from .lm import score
 from .minhash import near_duplicates
 from .mixing import mix
@@ -38,6 +39,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(documents(spark, sf_dir)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior", "votes")
 
 
+def op5_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_decisions(documents(spark, sf_dir))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(spark, f"{sf_dir}/documents.parquet")
 
@@ -62,7 +67,7 @@ def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "mix_tokens", "mix_weight", "mix_budget", "mix_copies")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_reshard, op3_best_fit_packing, op4_quality_rules, op6_exact_dedup, op7_crf_secrets, op8_gru_scoring, op9_language_id, op10_temperature_mixing)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_reshard, op3_best_fit_packing, op4_quality_rules, op5_fuzzy_line_dedup, op6_exact_dedup, op7_crf_secrets, op8_gru_scoring, op9_language_id, op10_temperature_mixing)}
 
 ORACLES = {
     "op6_exact_dedup": r"""
