@@ -4,20 +4,18 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, written
 from .textnum import constants, shingle_sets, sketch
 
 TREES, DEPTH = 8, 8
-#: Trees of the first turn; those of the second only look at nodes that still hold more than one component.
-FIRST = 3
 #: A node is small, and compared exhaustively, up to so many documents and shingles. A node that is not small at full
 #: depth is cut into parts of PART documents.
 SMALL, PART, SMALL_SHINGLES = 128, 512, 4_000_000
@@ -35,20 +33,38 @@ def _signed(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(size, pa.int64()), pa.array(digest, pa.binary()), pa.array(token, pa.binary())], ["id", "n", "digest", "token"])
 
 
-def _links(pdf: pd.DataFrame, k: int, percent: int) -> pd.DataFrame:
-    """Links that join the documents of a node as all its similar pairs do; pairs already joined are not compared."""
-    pdf = pdf.drop_duplicates("id").sort_values("id")
-    ids, sets = pdf["id"].to_numpy(), list(shingle_sets(pdf["text"].tolist(), k))
-    factor = constants(TREES * DEPTH, 101)
-    tokens = np.stack([sketch(s, factor) for s in sets]) if sets else np.zeros((0, len(factor)), np.uint32)
-    sizes = np.array([len(s) for s in sets])
-    same = np.zeros((len(ids), len(ids)), np.uint8)
+def _compatible(tokens: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens shared by each pair, pairs that sketches and sizes allow): five standard deviations below the threshold's mean."""
+    same = np.zeros((len(sizes), len(sizes)), np.uint8)
     for column in tokens.T:
         same += column[:, None] == column[None, :]
-    # five standard deviations below what a pair at the threshold shares on average
     t, m = percent / 100, tokens.shape[1]
     least = max(1, math.floor(t * m - 5 * math.sqrt(m * t * (1 - t))))
-    fits = (same >= least) & (100 * np.minimum.outer(sizes, sizes) >= percent * np.maximum.outer(sizes, sizes))
+    return same, (same >= least) & (100 * np.minimum.outer(sizes, sizes) >= percent * np.maximum.outer(sizes, sizes))
+
+
+def _screened(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """A node's documents that have a compatible partner in it, in the groups that compatible pairs join."""
+    tokens = np.stack([np.frombuffer(t, np.uint32) for t in pdf["token"]])
+    _, fits = _compatible(tokens, pdf["n"].to_numpy(), percent)
+    label = np.full(len(fits), -1)
+    for i in range(len(fits)):
+        if label[i] < 0:
+            label[i], ahead = i, [i]
+            while ahead:
+                new = np.flatnonzero(fits[ahead.pop()] & (label < 0))
+                label[new] = i
+                ahead += new.tolist()
+    own = fits.sum(axis=1) > 1
+    return pdf.loc[own, ["tree", "key", "id"]].assign(part=label[own].astype(np.int64))
+
+
+def _links(pdf: pd.DataFrame, k: int, percent: int) -> pd.DataFrame:
+    """Links that join the documents of a group as all its similar pairs do; pairs already joined are not compared."""
+    pdf = pdf.drop_duplicates("id").sort_values("id")
+    ids, sets = pdf["id"].to_numpy(), list(shingle_sets(pdf["text"].tolist(), k))
+    factor = constants(TREES * DEPTH, 101)
+    same, fits = _compatible(np.stack([sketch(s, factor) for s in sets]), np.array([len(s) for s in sets]), percent)
     left, right = np.nonzero(np.triu(fits, 1))
     order = np.argsort(-same[left, right].astype(np.int16), kind="stable")
     _, root = np.unique(pdf["comp"].to_numpy(), return_inverse=True)
@@ -71,54 +87,59 @@ def _links(pdf: pd.DataFrame, k: int, percent: int) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
-def _nodes(reps: DataFrame, first: int, last: int) -> DataFrame:
-    """(key, id, n, size, total) of the nodes with two documents or more where branching ends, for trees first to last - 1."""
-    tree = F.explode(F.sequence(F.lit(first), F.lit(last - 1))).alias("tree")
-    alive = reps.select("id", "n", "token", tree).select("id", "n", "tree", F.substring("token", F.col("tree") * 4 * DEPTH + 1, F.lit(4 * DEPTH)).alias("path"))
-    alive = alive.select("id", "n", "path", F.xxhash64("tree", F.substring("path", 1, 4)).alias("key"))
+def _large() -> Column:
+    return (F.col("size") > SMALL) | (F.col("total") > SMALL_SHINGLES)
+
+
+def _part() -> Column:
+    """The part of its large node that a document belongs to."""
+    return F.pmod(F.xxhash64("key", "id"), F.greatest(F.ceil(F.col("size") / PART), F.ceil(F.col("total") / SMALL_SHINGLES)))
+
+
+def _nodes(reps: DataFrame) -> DataFrame:
+    """(tree, key, id, size, total) of the nodes with two documents or more where branching ends."""
+    alive = reps.select("id", "n", "token", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
+    alive = alive.select("tree", "id", "n", F.substring("token", F.col("tree") * 4 * DEPTH + 1, F.lit(4 * DEPTH)).alias("path"))
+    alive = alive.withColumn("key", F.xxhash64("tree", F.substring("path", 1, 4)))
     ended = None
     for level in range(DEPTH):
         count = alive.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("total")).where("size > 1")
         sized = written(alive.join(count, "key"), "level")
-        large = (F.col("size") > SMALL) | (F.col("total") > SMALL_SHINGLES)
-        leaf = (sized if level == DEPTH - 1 else sized.where(~large)).select("key", "id", "n", "size", "total")
+        leaf = (sized if level == DEPTH - 1 else sized.where(~_large())).select("tree", "key", "id", "size", "total")
         ended = leaf if ended is None else ended.union(leaf)
-        alive = sized.where(large).select("id", "n", "path", F.xxhash64("key", F.substring("path", F.lit(4 * level + 5), F.lit(4))).alias("key"))
+        alive = sized.where(_large()).select("tree", "id", "n", "path", F.xxhash64("key", F.substring("path", F.lit(4 * level + 5), F.lit(4))).alias("key"))
         if level == DEPTH - 1 or alive.isEmpty():
-            break
-    return ended
+            return ended
 
 
 def _compare(groups: DataFrame, texts: DataFrame, comps: DataFrame | None, k: int, percent: int) -> DataFrame:
-    rows = groups.join(texts, "id")
-    rows = rows.withColumn("comp", F.col("id")) if comps is None else rows.join(comps.select(F.col("node").alias("id"), F.col("component").alias("comp")), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    rows = groups.select("key", "part", "id").join(texts, "id")
+    rows = rows.withColumn("comp", F.col("id")) if comps is None else _named(rows, comps)
     return written(rows.groupBy("key", "part").applyInPandas(lambda pdf: _links(pdf, k, percent), "a long, b long"), "links")
 
 
-def _parted(nodes: DataFrame) -> DataFrame:
-    """Groups to compare: small nodes whole; others in parts, each with the same hubs."""
-    small = (F.col("size") <= SMALL) & (F.col("total") <= SMALL_SHINGLES)
-    parts = F.greatest(F.ceil(F.col("size") / PART), F.ceil(F.col("total") / SMALL_SHINGLES))
-    cut = nodes.withColumn("part", F.when(small, F.lit(0).cast("long")).otherwise(F.pmod(F.xxhash64("key", "id"), parts)))
-    firsts = cut.where(~small).groupBy("key", "part").agg(F.min("id").alias("id")).groupBy("key").agg(F.slice(F.sort_array(F.collect_set("id")), 1, HUBS).alias("hubs"), F.collect_set("part").alias("parts"))
+def _named(rows: DataFrame, comps: DataFrame) -> DataFrame:
+    return rows.join(comps.select(F.col("node").alias("id"), F.col("component").alias("comp")), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+
+
+def _parted(large: DataFrame) -> DataFrame:
+    """Parts of large nodes, each with the same hubs."""
+    cut = large.select("key", "id", _part().alias("part"))
+    firsts = cut.groupBy("key", "part").agg(F.min("id").alias("id")).groupBy("key").agg(F.slice(F.sort_array(F.collect_set("id")), 1, HUBS).alias("hubs"), F.collect_set("part").alias("parts"))
     hubs = firsts.select("key", F.explode("hubs").alias("id"), "parts").select("key", "id", F.explode("parts").alias("part"))
-    return cut.select("key", "id", "part").union(hubs.select("key", "id", "part")).distinct()
-
-
-def _across(nodes: DataFrame, comps: DataFrame) -> DataFrame:
-    """Groups for what the parts of large nodes leave: every document outside its node's largest component against every part."""
-    large = nodes.where((F.col("size") > SMALL) | (F.col("total") > SMALL_SHINGLES))
-    large = large.join(comps.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    parts = F.greatest(F.ceil(F.col("size") / PART), F.ceil(F.col("total") / SMALL_SHINGLES))
-    cut = large.withColumn("part", F.pmod(F.xxhash64("key", "id"), parts)).where(parts > 1)
-    main = cut.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("main"))
-    rest = cut.join(main, "key").where("component <> main").select("key", "id", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / PART)).alias("own"), "part")
-    owns = rest.groupBy("key").agg(F.collect_set("own").alias("owns"), F.first(F.lit(1)).alias("one"))
+    return cut.union(hubs).distinct()
+
+
+def _across(large: DataFrame, comps: DataFrame) -> DataFrame:
+    """Groups of every document outside its node's largest component with every part of the node."""
+    cut = written(_named(large, comps).withColumn("part", _part()), "parts")
+    main = cut.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"))
+    rest = cut.join(main, "key").where("comp <> main").select("key", "id", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / PART)).alias("own"), "part")
+    owns = rest.groupBy("key").agg(F.collect_set("own").alias("owns"))
     every = cut.groupBy("key").agg(F.collect_set("part").alias("parts"))
-    pair = lambda own, part: F.xxhash64(own, part)
     there = cut.join(owns, "key").select("key", "id", F.explode("owns").alias("own"), "part")
     here = rest.join(every, "key").select("key", "id", "own", F.explode("parts").alias("part"))
-    return there.select("key", "id", pair("own", "part").alias("part")).union(here.select("key", "id", pair("own", "part").alias("part"))).distinct()
+    return there.union(here).select("key", F.xxhash64("own", "part").alias("part"), "id").distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -129,10 +150,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     on full sets of 64-bit shingle hashes. component_id is the smallest id reachable; kept means doc_id = component_id.
 
     Equal sets are merged first. Then TREES independent trees branch the rest: a document goes to the child of its next
-    minwise token until a node is small; there all pairs that a sketch cannot rule out are compared on whole texts. A pair
+    minwise token until a node is small; there all pairs are screened by sketches, and those left compared on whole texts. A pair
     of similarity s meets in a tree of depth d with probability s^d, and most nodes end at depth 1, so 8 trees miss
-    0.15^8 of pairs at 0.85. Large nodes at full depth are compared in parts with common hubs, and then what lies outside the
-    largest component of such a node against all its parts, so no pair of a node is left out.
+    0.15^8 of pairs at 0.85. After the first tree, only groups that still hold several components are compared. Large nodes
+    at full depth are first compared in parts with common hubs (in the first tree), and then, in every tree, what lies outside the
+    node's largest component with all its parts, so no pair of a node is left out.
 
     Rows of one id are one document; rows with a null id link with nothing and are kept; ties go to the smallest id;
     extra columns are ignored; an empty table gives an empty result.
@@ -143,21 +165,22 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     reps = written(full.groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("token").alias("token")), "reps")
     copies = full.select("id", "digest").join(reps.select("digest", F.col("id").alias("rep")), "digest").where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
 
-    one = _nodes(reps, 0, FIRST)
-    texts = base.where("id is not null")
-    groups = written(_parted(one), "groups")
-    # repeated ids with other texts stay; what a node compares is the union of their texts' sets by id, see drop_duplicates
-    links = _compare(groups, texts.join(groups.select("id").distinct(), "id", "left_semi"), None, k, percent)
+    nodes = written(_nodes(reps), "nodes")
+    held = nodes.where(~_large()).join(reps.select("id", "n", "token"), "id").groupBy("key")
+    small = written(held.applyInPandas(lambda pdf: _screened(pdf, percent), "tree int, key long, id long, part long"), "screened")
+    large = written(nodes.where(_large()), "large")
+    crowded = not large.isEmpty()
+    involved = small.select("id").union(large.select("id")).distinct()
+    # the one shuffle of texts: what is compared at all is a small part of them
+    texts = written(base.join(involved, "id", "left_semi"), "texts")
+
+    groups = small.where("tree = 0").select("key", "part", "id")
+    links = _compare(groups.union(_parted(large.where("tree = 0")).select("key", "part", "id")) if crowded else groups, texts, None, k, percent)
     comps = written(components(links), "components")
-    rest = written(_across(one, comps), "across")
-    two = _nodes(reps, FIRST, TREES)
-    spread = two.join(comps.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_keys = spread.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    more = written(_parted(two.join(open_keys, "key", "left_semi")).union(rest), "groups")
-    links = links.union(_compare(more, texts.join(more.select("id").distinct(), "id", "left_semi"), comps, k, percent))
-    after = written(components(links), "components")
-    final = _across(two, after)
-    links = links.union(_compare(final, texts.join(written(final, "across").select("id").distinct(), "id", "left_semi"), after, k, percent))
+    spread = _named(small.where("tree > 0"), comps)
+    several = spread.groupBy("key", "part").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key", "part")
+    groups = small.where("tree > 0").join(several, ["key", "part"], "left_semi").select("key", "part", "id")
+    links = links.union(_compare(groups.union(_across(large, comps)) if crowded else groups, texts, comps, k, percent))
     comps = components(links.union(copies))
     out = signed.join(comps, signed["id"] == comps["node"], "left")
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
