@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,41 +32,84 @@ def _signed(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(size, pa.int64()), pa.array(digest, pa.binary()), pa.array(token, pa.binary())], ["id", "n", "digest", "token"])
 
 
-def _compatible(tokens: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(tokens shared by each pair, pairs that sketches and sizes allow): five standard deviations below the threshold's mean."""
-    same = np.zeros((len(sizes), len(sizes)), np.uint8)
-    for column in tokens.T:
-        same += column[:, None] == column[None, :]
-    t, m = percent / 100, tokens.shape[1]
-    least = max(1, math.floor(t * m - 5 * math.sqrt(m * t * (1 - t))))
-    return same, (same >= least) & (100 * np.minimum.outer(sizes, sizes) >= percent * np.maximum.outer(sizes, sizes))
-
-
-def _screened(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """A node's documents that have a compatible partner in it, in the groups that compatible pairs join."""
-    tokens = np.stack([np.frombuffer(t, np.uint32) for t in pdf["token"]])
-    _, fits = _compatible(tokens, pdf["n"].to_numpy(), percent)
-    label = np.full(len(fits), -1)
-    for i in range(len(fits)):
-        if label[i] < 0:
-            label[i], ahead = i, [i]
-            while ahead:
-                new = np.flatnonzero(fits[ahead.pop()] & (label < 0))
-                label[new] = i
-                ahead += new.tolist()
-    own = fits.sum(axis=1) > 1
-    return pdf.loc[own, ["tree", "key", "id"]].assign(part=label[own].astype(np.int64))
-
-
-def _links(pdf: pd.DataFrame, k: int, percent: int) -> pd.DataFrame:
+def _whole_groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """(rows, edges of their groups) from batches sorted by keys; a group that a batch cuts waits for its end."""
+    held: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        held = table if held is None else pa.concat_tables([held, table])
+        edges = _edges(held, keys)
+        if len(edges) > 2:
+            yield held.slice(0, edges[-2]), edges[:-1]
+            held = held.slice(edges[-2])
+    if held is not None and held.num_rows:
+        yield held, _edges(held, keys)
+
+
+def _edges(table: pa.Table, keys: Sequence[str]) -> np.ndarray:
+    new = np.zeros(table.num_rows, bool)
+    for k in keys:
+        v = table.column(k).to_numpy()
+        new[1:] |= v[1:] != v[:-1]
+    return np.concatenate([[0], np.flatnonzero(new), [table.num_rows]]) if table.num_rows else np.zeros(1, int)
+
+
+def _least(percent: int) -> int:
+    """Of TREES * DEPTH tokens: five standard deviations below what a pair at the threshold shares on average."""
+    t, m = percent / 100, TREES * DEPTH
+    return max(1, math.floor(t * m - 5 * math.sqrt(m * t * (1 - t))))
+
+
+def _screened(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Documents of small nodes that have a compatible partner there, in the groups that compatible pairs join.
+
+    All nodes of a batch go together: rows are compared with the row d places on, for each d that a node has room for.
+    """
+    least = _least(percent)
+    for table, edges in _whole_groups(batches, ["key"]):
+        tokens = np.frombuffer(b"".join(table.column("token").to_pylist()), np.uint32).reshape(-1, TREES * DEPTH)
+        size = table.column("n").to_numpy()
+        ends = np.repeat(edges[1:], np.diff(edges))
+        label = np.arange(len(size))
+        pairs = []
+        at = np.arange(len(size))
+        for d in range(1, int(np.diff(edges).max(initial=1))):
+            at = at[at + d < ends[at]]
+            for i in range(0, len(at), 1 << 16):
+                x, y = at[i : i + (1 << 16)], at[i : i + (1 << 16)] + d
+                fits = 100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y])
+                x, y = x[fits], y[fits]
+                good = (tokens[x] == tokens[y]).sum(axis=1) >= least
+                pairs.append((x[good], y[good]))
+        own = np.zeros(len(size), bool)
+        if pairs:
+            left, right = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
+            own[left] = own[right] = True
+            while True:  # each row takes the least label of its partners until none changes
+                before = label.copy()
+                low = np.minimum(label[left], label[right])
+                np.minimum.at(label, left, low)
+                np.minimum.at(label, right, low)
+                if (label == before).all():
+                    break
+        kept = table.filter(pa.array(own))
+        part = label[own] - np.repeat(edges[:-1], np.diff(edges))[own]
+        for out in kept.select(["tree", "key", "id"]).append_column("part", pa.array(part.astype(np.int64))).combine_chunks().to_batches():
+            yield out
+
+
+def _linked(ids: np.ndarray, comp: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Links that join the documents of a group as all its similar pairs do; pairs already joined are not compared."""
-    pdf = pdf.drop_duplicates("id").sort_values("id")
-    ids, sets = pdf["id"].to_numpy(), list(shingle_sets(pdf["text"].tolist(), k))
     factor = constants(TREES * DEPTH, 101)
-    same, fits = _compatible(np.stack([sketch(s, factor) for s in sets]), np.array([len(s) for s in sets]), percent)
+    tokens = np.stack([sketch(s, factor) for s in sets])
+    sizes = np.array([len(s) for s in sets])
+    same = np.zeros((len(ids), len(ids)), np.uint8)
+    for column in tokens.T:
+        same += column[:, None] == column[None, :]
+    fits = (same >= _least(percent)) & (100 * np.minimum.outer(sizes, sizes) >= percent * np.maximum.outer(sizes, sizes))
     left, right = np.nonzero(np.triu(fits, 1))
     order = np.argsort(-same[left, right].astype(np.int16), kind="stable")
-    _, root = np.unique(pdf["comp"].to_numpy(), return_inverse=True)
+    _, root = np.unique(comp, return_inverse=True)
     parent = {int(r): int(r) for r in root}
 
     def find(x: int) -> int:
@@ -83,8 +125,28 @@ def _links(pdf: pd.DataFrame, k: int, percent: int) -> pd.DataFrame:
         shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
         if 100 * shared >= percent * (len(sets[i]) + len(sets[j]) - shared):
             parent[a] = b
-            out.append((ids[i], ids[j]))
-    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+            out.append((int(ids[i]), int(ids[j])))
+    return out
+
+
+def _links(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator[pa.RecordBatch]:
+    for table, edges in _whole_groups(batches, ["key", "part"]):
+        ids, comp = table.column("id").to_numpy(), table.column("comp").to_numpy()
+        found: list[tuple[int, int]] = []
+        a = 0
+        while a < len(edges) - 1:  # some groups at a time, so that their sets fit in memory
+            b = a + 1
+            while b < len(edges) - 1 and edges[b + 1] - edges[a] <= PART:
+                b += 1
+            rows = slice(int(edges[a]), int(edges[b]))
+            sets = list(shingle_sets(table.column("text").slice(rows.start, rows.stop - rows.start).to_pylist(), k))
+            for g in range(a, b):
+                lo, hi = int(edges[g]), int(edges[g + 1])
+                one = np.unique(ids[lo:hi], return_index=True)[1] + lo  # repeated ids are one document
+                if len(np.unique(comp[one])) > 1:
+                    found += _linked(ids[one], comp[one], [sets[i - rows.start] for i in one], percent)
+            a = b
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
 
 
 def _large() -> Column:
@@ -115,7 +177,8 @@ def _nodes(reps: DataFrame) -> DataFrame:
 def _compare(groups: DataFrame, texts: DataFrame, comps: DataFrame | None, k: int, percent: int) -> DataFrame:
     rows = groups.select("key", "part", "id").join(texts, "id")
     rows = rows.withColumn("comp", F.col("id")) if comps is None else _named(rows, comps)
-    return written(rows.groupBy("key", "part").applyInPandas(lambda pdf: _links(pdf, k, percent), "a long, b long"), "links")
+    rows = rows.select("key", "part", "id", "comp", "text").repartition("key", "part").sortWithinPartitions("key", "part")
+    return written(rows.mapInArrow(lambda it: _links(it, k, percent), "a long, b long"), "links")
 
 
 def _named(rows: DataFrame, comps: DataFrame) -> DataFrame:
@@ -166,13 +229,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     copies = full.select("id", "digest").join(reps.select("digest", F.col("id").alias("rep")), "digest").where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
 
     nodes = written(_nodes(reps), "nodes")
-    held = nodes.where(~_large()).join(reps.select("id", "n", "token"), "id").groupBy("key")
-    small = written(held.applyInPandas(lambda pdf: _screened(pdf, percent), "tree int, key long, id long, part long"), "screened")
+    held = nodes.where(~_large()).join(reps.select("id", "n", "token"), "id").select("tree", "key", "id", "n", "token").repartition("key").sortWithinPartitions("key")
+    small = written(held.mapInArrow(lambda it: _screened(it, percent), "tree int, key long, id long, part long"), "screened")
     large = written(nodes.where(_large()), "large")
     crowded = not large.isEmpty()
     involved = small.select("id").union(large.select("id")).distinct()
-    # the one shuffle of texts: what is compared at all is a small part of them
-    texts = written(base.join(involved, "id", "left_semi"), "texts")
+    # the one shuffle of all texts, at any size: what is compared at all is a small part of them
+    texts = written(base.join(involved.hint("merge"), "id", "left_semi"), "texts")
 
     groups = small.where("tree = 0").select("key", "part", "id")
     links = _compare(groups.union(_parted(large.where("tree = 0")).select("key", "part", "id")) if crowded else groups, texts, None, k, percent)
