@@ -36,10 +36,10 @@ def fresh_dir(spark: SparkSession, tag: str) -> str:
     return path
 
 
-def written(df: DataFrame, tag: str) -> DataFrame:
+def written(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
     """df as a table in the shared folder, read again: lineage ends here, so losing an executor costs no recomputation."""
     spark, path = df.sparkSession, fresh_dir(df.sparkSession, tag)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
