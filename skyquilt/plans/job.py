@@ -91,8 +91,7 @@ class CutoutJob:
         placed = placed.withColumn("original", cutouts.original_size(F.col("diameter_pixel"), F.col("diameter_arcsec"), F.col("scale"), fits_out))
         placed = placed.withColumn("channels", F.lit(weights.shape[1] if weights.ndim == 2 else 1))
 
-        def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values("channel_no")
+        def one(pdf: pd.DataFrame) -> dict:
             first = pdf.iloc[0]
             planes, heads = [], []
             for r in pdf.itertuples(index=False):
@@ -121,9 +120,25 @@ class CutoutJob:
                 heads = heads[:1] * len(planes)
             scale = planes[0].shape[0] / first.original if first.original == first.original and first.original else 1.0
             meta = {k: getattr(first, k) for k in ("SourceID", "RA", "Dec", "diameter_pixel", "diameter_arcsec", "row_idx", "batch", "batch_index")}
-            return pd.DataFrame([meta | {"size": planes[0].shape[0], "images": [p.astype(np.float32).ravel() for p in planes], "wcs": heads, "channel_keys": list(pdf["channel_key"]), "original_cutout_size": first.original, "rescaled_offset_x": first.offset_x * scale, "rescaled_offset_y": first.offset_y * scale}])
+            return meta | {"size": planes[0].shape[0], "images": [p.astype(np.float32).ravel() for p in planes], "wcs": heads, "channel_keys": list(pdf["channel_key"]), "original_cutout_size": first.original, "rescaled_offset_x": first.offset_x * scale, "rescaled_offset_y": first.offset_y * scale}
 
-        return fits_source.with_pixels(placed.drop("size")).groupBy("batch", "row_idx").applyInPandas(one, IMAGE)
+        names = [f.split(" ")[0] for f in IMAGE.split(", ")]
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            held = None  # rows of a source that an Arrow batch cuts wait for the next
+            for pdf in batches:
+                held = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+                last = (held["batch"] == held["batch"].iloc[-1]) & (held["row_idx"] == held["row_idx"].iloc[-1]) if len(held) else None
+                if last is not None and not last.all():
+                    done, held = held[~last], held[last].reset_index(drop=True)
+                    edges = np.flatnonzero(np.concatenate([[True], (done["row_idx"].to_numpy()[1:] != done["row_idx"].to_numpy()[:-1]) | (done["batch"].to_numpy()[1:] != done["batch"].to_numpy()[:-1]), [True]]))
+                    for k in range(0, len(edges) - 1, 200):
+                        yield pd.DataFrame([one(done.iloc[a:b]) for a, b in zip(edges[k : k + 200], edges[k + 1 : k + 201], strict=False)], columns=names)
+            if held is not None and len(held):
+                yield pd.DataFrame([one(held)], columns=names)
+
+        rows = fits_source.with_pixels(placed.drop("size")).repartition("batch", "row_idx").sortWithinPartitions("batch", "row_idx", "channel_no")
+        return rows.mapInPandas(run, IMAGE)
 
     # -- runs --------------------------------------------------------------------------------------------------
     def run(self, source: str | DataFrame | None = None) -> dict[str, Any]:

@@ -114,7 +114,8 @@ def window(f: BinaryIO, h: Mapping[str, Any], at: int, y0: int, y1: int, x0: int
     out = np.stack(rows) if rows else np.zeros((0, x1 - x0), kind)
     scale, zero = h.get("BSCALE", 1), h.get("BZERO", 0)
     if scale != 1 or zero != 0:
-        return out * scale + zero
+        exact = kind.kind in "iu" and float(scale).is_integer() and float(zero).is_integer()
+        return out.astype(np.int64) * int(scale) + int(zero) if exact else out * float(scale) + float(zero)
     return out.astype(kind.newbyteorder("="))
 
 
