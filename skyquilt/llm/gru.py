@@ -95,7 +95,7 @@ class Model:
         return new + keep * (state - new), keep, reset, new, u[:, 2 * h :]
 
     def _groups(self, token: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        kind = token // PER_CLASS
+        kind = self._kinds(token)
         order = np.argsort(kind, kind="stable")
         ends = np.searchsorted(kind[order], np.arange(self.classes + 1))
         for c in range(self.classes):
