@@ -85,19 +85,21 @@ class Model:
         for k in self.languages:
             pieces = [self.symbols(t).tolist() for t in raw[k]]
             to = suffix_automaton(pieces)
-            table = np.zeros((len(to), self.width), np.int64)
-            # a missing transition ends a phrase (bit 0) and goes where the symbol leads from the root
-            start = np.full(self.width, base, np.int64)
+            table = np.zeros((len(to) + 1, self.width), np.int64)
+            # a missing transition ends a phrase (bit 0) and goes where the symbol leads from the root; a symbol that
+            # leads nowhere is a phrase of its own, in the last state, from which each symbol begins another
+            start = np.full(self.width, base + len(to), np.int64)
             for c, q in to[0].items():
                 start[c] = base + q
             table[:] = start * self.width * 2 + 1
+            table[0] -= 1
             for s, out in enumerate(to):
                 for c, q in out.items():
                     table[s, c] = (base + q) * self.width * 2
             tables.append(table)
             self.root.append(base * self.width)
             self.bits.append(math.log2(max(2, sum(map(len, pieces)))))
-            base += len(to)
+            base += len(to) + 1
         self.table = np.concatenate(tables).ravel().astype(np.int32 if base * self.width * 2 < 2**31 else np.int64) if tables else np.zeros(0, np.int32)
 
     def symbols(self, points: np.ndarray) -> np.ndarray:
