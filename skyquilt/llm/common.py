@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -40,7 +41,20 @@ def written(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
     """df as a table in the shared folder, read again: lineage ends here, so losing an executor costs no recomputation."""
     spark, path = df.sparkSession, fresh_dir(df.sparkSession, tag)
     df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._skyquilt_path = path
+    return out
+
+
+def discard(spark: SparkSession, *tables: DataFrame | None) -> None:
+    """Delete tables of written() that nothing reads any more, and let Spark drop the shuffle files of plans that are gone."""
+    jvm = spark.sparkContext._jvm
+    for t in tables:
+        if t is not None:
+            at = jvm.org.apache.hadoop.fs.Path(t._skyquilt_path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    gc.collect()
+    jvm.System.gc()
 
 
 def text_or_empty(name: str = "text") -> Column:
@@ -56,12 +70,30 @@ def fold(of: Column, modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(of.cast("string"), F.lit(""))), F.lit(modulus))
 
 
+#: Bits of sieve(): 128 bitmaps of 4 KB, whatever the number of ids.
+SIEVE_BITS = 22
+
+
+def sieve(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """Rows of df whose key may be among ids (one column): all that are, and a share of the others that rises with the number
+    of ids. It spares a join the shuffle of rows that cannot match; its broadcast has a fixed size."""
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << SIEVE_BITS))
+    spot = place(F.col(ids.columns[0]))
+    maps = ids.select(F.shiftright(spot, 15).alias("_bucket"), spot.bitwiseAND(F.lit(32767)).alias("_bit")).groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_map"))
+    at = place(F.col(key))
+    byte = F.conv(F.hex(F.substring("_map", (F.shiftright(at.bitwiseAND(F.lit(32767)), 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    bit = at.bitwiseAND(F.lit(7)).cast("int")
+    held = byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), bit + 1)) != 0
+    return df.join(F.broadcast(maps), F.shiftright(at, 15) == F.col("_bucket")).where(held).drop("_bucket", "_map")
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component) for every node in edges (a, b long): component is the smallest node reachable.
+    """(node, component) for every node in edges (a, b long), written: component is the smallest node reachable.
 
     Large-star and small-star turns over written tables; each turn shuffles the edges twice, and the number of
     turns grows with the logarithm of the longest path. Nothing about the graph but two counts reaches the driver.
     """
+    spark = edges.sparkSession
     now = written(edges.where("a is not null and b is not null and a <> b")
                   .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     before = None
@@ -72,10 +104,13 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         hung = large.join(low, "u")
         small = hung.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        now = written(small, "edges")
+        old, now = now, written(small, "edges")
+        discard(spark, old)
         mark = now.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("long"))).first()
         if mark == before:
             break
         before = mark
     leaf = now.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
-    return leaf.union(leaf.select(F.col("component").alias("node"), "component").distinct())
+    out = written(leaf.union(leaf.select(F.col("component").alias("node"), "component").distinct()), "components")
+    discard(spark, now)
+    return out

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, written
+from .common import components, discard, written
 from .textnum import constants, shingle_sets, sketch
 
 TREES, DEPTH = 8, 8
@@ -239,11 +239,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
 
     groups = small.where("tree = 0").select("key", "part", "id")
     links = _compare(groups.union(_parted(large.where("tree = 0")).select("key", "part", "id")) if crowded else groups, texts, None, k, percent)
-    comps = written(components(links), "components")
+    comps = components(links)
     spread = _named(small.where("tree > 0"), comps)
     several = spread.groupBy("key", "part").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key", "part")
     groups = small.where("tree > 0").join(several, ["key", "part"], "left_semi").select("key", "part", "id")
     links = links.union(_compare(groups.union(_across(large, comps)) if crowded else groups, texts, comps, k, percent))
-    comps = components(links.union(copies))
-    out = signed.join(comps, signed["id"] == comps["node"], "left")
+    last = components(links.union(copies))
+    sizes = written(signed.select("id", "n"), "sizes")
+    discard(docs.sparkSession, signed, reps, nodes, small, large, texts, comps)
+    out = sizes.join(last, sizes["id"] == last["node"], "left")
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
