@@ -125,7 +125,7 @@ ORACLES = {
     "crop_max": f"WITH {_IMG} SELECT vec_id, round(max(v) FILTER (i // 8 BETWEEN 2 AND 5 AND i % 8 BETWEEN 2 AND 5), 6) AS centre, round(max(v), 6) AS whole FROM p GROUP BY 1",
     "to_uint8": f"WITH {_IMG} SELECT vec_id, i, round_even(least(greatest(v * 2, 0), 1) * 255, 0) AS value FROM p",
     "to_uint16": f"WITH {_IMG} SELECT vec_id, i, round_even(least(greatest(v * 2, 0), 1) * 65535, 0) AS value FROM p",
-    "to_int16": f"WITH {_IMG} SELECT vec_id, i, trunc(least(greatest(v * 2, 0), 1) * 65535 - 32768) AS value FROM p",
+    "to_int16": f"WITH {_IMG} SELECT vec_id, i, CAST(CAST(trunc(least(greatest(v * 2, 0), 1) * 65535 - 32768) AS INT) AS DOUBLE) AS value FROM p",
     "nhwc_to_nchw": f"WITH {_IMG} SELECT vec_id, (i % 4) * 16 + i // 4 AS i, round(v, 6) AS value FROM p",
     "nchw_to_nhwc": f"WITH {_IMG} SELECT vec_id, (i % 16) * 4 + i // 16 AS i, round(v, 6) AS value FROM p",
     "nearest_resize": f"WITH {_IMG}, k AS (SELECT t, CAST(least(7, trunc((t + 0.5) * 8 / 5)) AS INT) AS s FROM range(5) x(t)) SELECT vec_id, ky.t * 5 + kx.t AS i, round(v, 6) AS value FROM k ky, k kx JOIN p ON p.i = ky.s * 8 + kx.s",
