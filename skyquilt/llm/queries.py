@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .common import documents, fold
 from .exact_dedup import exact_dedup
 from .langid import identify, learn
-from .line_dedup import line_decisions
+from .line_dedup import WHOLE, line_decisions
 from .lm import score
 from .minhash import near_duplicates
 from .mixing import mix
@@ -40,7 +40,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_decisions(documents(spark, sf_dir))
+    return line_decisions(documents(spark, sf_dir), **WHOLE)
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
