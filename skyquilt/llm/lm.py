@@ -18,9 +18,9 @@ from .textnum import Words, chunks
 #: Head words have outputs of their own in the model. Known words have their counts at hand in each task: at most KNOWN pairs of
 #: a hash and a count, 4 MB. Words beyond them are joined with the table of counts.
 HEAD, KNOWN = 4_095, 262_144
-#: The recurrent weights are trained on ROUNDS of BUCKETS hash buckets of the training documents, a share that grows with the
-#: input; a replica has about REPLICA tokens, and replicas are averaged by their tokens after each round.
-BUCKETS, ROUNDS, REPLICA = 16, 2, 750_000
+#: The recurrent weights are trained on all BUCKETS hash buckets of the training documents, one a round; a replica has about
+#: REPLICA tokens, and replicas are averaged by their tokens after each round.
+BUCKETS, REPLICA = 16, 750_000
 #: The end of a document, as a hash.
 END = 0
 SMOOTH = 0.1
@@ -133,7 +133,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     top = counts.orderBy(F.desc("c"), "h").limit(KNOWN).toArrow()  # KNOWN rows
     h, c = (np.ascontiguousarray(top.column(k).to_numpy()).astype(np.int64) for k in ("h", "c"))
     packed = (h.tobytes(), c.tobytes(), int(total), int(distinct), b"")
-    for turn in range(ROUNDS):
+    for turn in range(BUCKETS):
         own = learned.where(F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(BUCKETS)) == turn)
         packed = (*packed[:-1], _train(own, packed, total // BUCKETS))
     shared = docs.sparkSession.sparkContext.broadcast(packed)
