@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, fold
+from .common import documents, fold, fresh_dir, written
 from .exact_dedup import exact_dedup
 from .langid import identify, learn
 from .line_dedup import WHOLE, line_decisions
@@ -14,7 +14,7 @@ from .minhash import near_duplicates
 from .mixing import mix
 from .packing import pack
 from .quality import judge
-from .resharding import reshard
+from .resharding import read_shards, reshard, rewrite_affected
 from .secrets import learn as learn_secrets
 from .secrets import scan
 
@@ -26,9 +26,19 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From 32 shards by a hash of the id to 40 of near equal bytes."""
-    placed, _ = reshard(documents(spark, sf_dir), F.pmod(F.xxhash64("doc_id"), F.lit(OLD_SHARDS)), OLD_SHARDS, SHARDS)
-    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+    """From 32 shards by a hash of the id to 40 of near equal bytes: the affected shards are written, and read again for the result.
+
+    All that the files say comes from them; old_shard is the hash of the id. Shards that no transfer touches are not written; their rows
+    come from the placement.
+    """
+    docs, old = documents(spark, sf_dir), F.pmod(F.xxhash64("doc_id"), F.lit(OLD_SHARDS)).cast("int")
+    placed, flow = reshard(docs, old, OLD_SHARDS, SHARDS)
+    placed, root = written(placed, "placed"), fresh_dir(spark, "shards")
+    done = rewrite_affected(docs, placed, flow, root)
+    columns = ["doc_id", "size", "text_crc32", "shard", "slot", "old_shard"]
+    kept = placed.where(~F.col("shard").isin(done)).select(*columns)
+    rows = read_shards(spark, root, docs.schema).withColumn("old_shard", old).select(*columns).union(kept) if done else kept
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 import heapq
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from .common import fresh_dir, written
 
@@ -122,10 +123,12 @@ def reshard(docs: DataFrame, old_shard, n_old: int, capacities: int | Sequence[i
 def rewrite_affected(docs: DataFrame, placed: DataFrame, flow: dict[tuple[int, int], int], root: str, id_col: str = "doc_id", text_col: str = "text") -> list[int]:
     """Write the files of the shards that a transfer touches, as root/shard=N/part-*.parquet in slot order; return their numbers.
 
-    Shards that no transfer enters or leaves keep their files. docs keeps all its columns, and gets `slot`.
+    Shards that no transfer enters or leaves keep their files: of a live root, only touched shards are overwritten, and those that are
+    left without rows lose their files. docs must not be read from root itself. docs keeps all its columns, and gets `slot`.
     Rows are found by id, size and checksum; repeated rows are interchangeable, and each is written once.
     """
-    touched = sorted({s for (i, j) in flow if i != j for s in (i, j) if any(b == s for _, b in flow)})
+    root = root or fresh_dir(docs.sparkSession, "shards")
+    touched = sorted({s for (i, j) in flow if i != j for s in (i, j)})
     text = F.coalesce(F.col(text_col), F.lit(""))
     again = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(F.lit(0)))
     rows = docs.withColumn("_id", F.col(id_col)).withColumn("_crc", F.crc32(text.cast("binary"))).withColumn("_size", (F.octet_length(text) + 16).cast("long"))
@@ -134,5 +137,17 @@ def rewrite_affected(docs: DataFrame, placed: DataFrame, flow: dict[tuple[int, i
     where = where.withColumn("_to_again", again("_to_id", "_to_crc", "_to_size")).where(F.col("_shard").isin(touched))
     both = rows.join(where, F.col("_id").eqNullSafe(F.col("_to_id")) & (F.col("_crc") == F.col("_to_crc")) & (F.col("_size") == F.col("_to_size")) & (F.col("_again") == F.col("_to_again")))
     out = both.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("slot", "shard")], F.col("_slot").alias("slot"), F.col("_shard").alias("shard"))
-    out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").mode("overwrite").parquet(root or fresh_dir(docs.sparkSession, "shards"))
+    out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(root)
+    filled = {r[0] for r in where.select("_shard").distinct().collect()}  # shards
+    jvm, spark = docs.sparkSession.sparkContext._jvm, docs.sparkSession
+    for n in set(touched) - filled:
+        at = jvm.org.apache.hadoop.fs.Path(f"{root}/shard={n}")
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
     return touched
+
+
+def read_shards(spark: SparkSession, root: str, schema: StructType, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, size, text_crc32, shard, slot of the rows that the shard files below root hold; schema is that of the rows, without shard and slot."""
+    held = StructType([*[f for f in schema if f.name not in ("slot", "shard")], StructField("slot", LongType()), StructField("shard", IntegerType())])
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return spark.read.schema(held).parquet(root).select(F.col(id_col).alias("doc_id"), (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), "shard", "slot")
