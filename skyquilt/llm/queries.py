@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, fold, fresh_dir, written
+from .common import documents, fold, fresh_dir
 from .exact_dedup import exact_dedup
 from .langid import identify, learn
 from .line_dedup import WHOLE, line_decisions
@@ -14,7 +14,7 @@ from .minhash import near_duplicates
 from .mixing import mix
 from .packing import pack
 from .quality import judge
-from .resharding import read_shards, reshard, rewrite_affected
+from .resharding import read_shards, rewrite_affected, solve
 from .secrets import learn as learn_secrets
 from .secrets import scan
 
@@ -32,12 +32,15 @@ def op2_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     come from the placement.
     """
     docs, old = documents(spark, sf_dir), F.pmod(F.xxhash64("doc_id"), F.lit(OLD_SHARDS)).cast("int")
-    placed, flow = reshard(docs, old, OLD_SHARDS, SHARDS)
-    placed, root = written(placed, "placed"), fresh_dir(spark, "shards")
-    done = rewrite_affected(docs, placed, flow, root)
+    solved, root = solve(docs, old, OLD_SHARDS, SHARDS), fresh_dir(spark, "shards")
+    done = rewrite_affected(docs, solved, root)
     columns = ["doc_id", "size", "text_crc32", "shard", "slot", "old_shard"]
-    kept = placed.where(~F.col("shard").isin(done)).select(*columns)
-    rows = read_shards(spark, root, docs.schema).withColumn("old_shard", old).select(*columns).union(kept) if done else kept
+    text = F.coalesce(F.col("text"), F.lit(""))
+    size, crc = (F.octet_length(text) + 16).cast("long"), F.crc32(text.cast("binary"))
+    rows = read_shards(spark, root, docs.schema).select("doc_id", size.alias("size"), crc.alias("text_crc32"), "shard", "slot", old.alias("old_shard")) if done else None
+    if len(done) < SHARDS:
+        kept = solved.rows(docs).where(~F.col("shard").isin(done)).select(*columns)
+        rows = rows.union(kept) if done else kept
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 
