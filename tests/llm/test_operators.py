@@ -238,25 +238,26 @@ def distance(a, b):
     return p[-1]
 
 
-@pytest.mark.parametrize(("crowd", "bucket"), [(512, 64), (2, 64), (512, 1e-6)])
-def test_fuzzy_lines(spark, rows, monkeypatch, crowd, bucket):
+@pytest.mark.parametrize(("crowd", "hot"), [(2048, 1_000), (2, 1_000), (2048, 1)])
+def test_fuzzy_lines(spark, rows, monkeypatch, crowd, hot):
+    """Against edit similarity of all pairs, whatever keys and signatures the operator finds them by."""
     monkeypatch.setattr(line_dedup, "CROWD", crowd)
-    monkeypatch.setattr(line_dedup, "BUCKET", bucket)
-    monkeypatch.setattr(line_dedup, "DISTANCE", 8 if bucket == 64 and crowd == 2 else 3)
+    monkeypatch.setattr(line_dedup, "HOT", hot)
+    if hot == 1:
+        monkeypatch.setattr(line_dedup, "_hot", lambda keys: line_dedup.written(keys.select("key").distinct(), "hot"))
     few = [r for r in rows if r[0] is None or r[0] < 70 or r[0] > 119 and r[0] != 125]
     docs = spark.createDataFrame(few, "doc_id long, text string, lang string, source string, n_chars long")
     norm = lambda x: re.sub(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", " ", x.lower()).strip(" ")
-    lines = [(r[0], i, norm(x)) for r in few if r[1] is not None for i, x in enumerate(r[1].split("\n")) if len(norm(x).split(" ")) >= 5]
-    sig = {r["norm"]: r["sig"] for r in line_dedup.lines_of(docs, 5).join(line_dedup.signatures(line_dedup.lines_of(docs, 5)), "cid").collect()}
-    assert set(sig) == {x[2] for x in lines if any(len(w) >= 4 for w in x[2].split(" "))}
+    lines = [(r[0], i, norm(x)) for r in few if r[1] is not None for i, x in enumerate(r[1].split("\n")) if norm(x)]
     texts = sorted({x[2] for x in lines})
     links = []
     for i, a in enumerate(texts):
         for b in texts[:i]:
-            x, y = a.split(" "), b.split(" ")
-            longest = max(len(x), len(y))
-            if a in sig and b in sig and bin(sig[a] ^ sig[b]).count("1") <= line_dedup.DISTANCE and 100 * min(len(x), len(y)) >= 80 * longest and 100 * (longest - distance(x, y)) >= 80 * longest:
-                links.append((a, b))
+            longest, bags = max(len(a), len(b)), Counter(a) - Counter(b)
+            if 100 * min(len(a), len(b)) >= 80 * longest and 100 * (longest - bags.total()) >= 80 * longest:
+                x, y = (a.split(" "), b.split(" ")) if longest > line_dedup.LONG else (a, b)
+                if 100 * (max(len(x), len(y)) - distance(x, y)) >= 80 * max(len(x), len(y)):
+                    links.append((a, b))
     group = roots(links, texts)
     first = {}
     for d, i, x in sorted(lines, key=lambda y: (y[0] is not None, y[0] or 0, y[1])):
@@ -264,15 +265,14 @@ def test_fuzzy_lines(spark, rows, monkeypatch, crowd, bucket):
     gone = {(d, i) for d, i, x in lines if first[group[x]] != (d, i)}
     got = line_dedup.dedup_lines(docs)
     assert got.columns == [*docs.columns, "n_lines", "n_dropped"]
-    for r, (n, cut) in zip(sorted(got.collect(), key=str), sorted(((r["n_lines"], r["dropped"]) for r in line_dedup.line_decisions(docs).collect()), key=str), strict=False):
-        assert n is not None and cut is not None
+    decided = {(r["doc_id"], i) for r in line_dedup.line_decisions(docs).collect() for i in r["dropped"]}
+    assert decided <= gone and len(decided) >= 0.97 * len(gone) > 0
     text = {r[0]: r[1] for r in few}
     for r in got.collect():
         t = text[r["doc_id"]]
-        left = None if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if (r["doc_id"], i) not in gone)
+        left = None if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if (r["doc_id"], i) not in decided)
         assert r["text"] == left
         assert r["n_lines"] == (0 if t is None else len(t.split("\n")))
-    assert gone
 
 
 def test_fuzzy_lines_edges(empty, clashing, rows):
@@ -280,18 +280,6 @@ def test_fuzzy_lines_edges(empty, clashing, rows):
     assert line_dedup.dedup_lines(clashing).count() == len(rows) == line_dedup.line_decisions(clashing).count()
 
 
-def test_pigeonhole_masks():
-    rng = np.random.default_rng(6)
-    for count in (10, 10**7, 10**12):
-        masks = line_dedup.block_masks(count)
-        for _ in range(200):
-            a = int(rng.integers(0, 2**63))
-            b = a
-            for k in rng.choice(63, 3, replace=False):
-                b ^= 1 << int(k)
-            assert any(a & m == b & m for m in masks)
-
-
 # -- 6 ---------------------------------------------------------------------------------------------------------
 def plain_exact(rows):
     groups = defaultdict(list)
