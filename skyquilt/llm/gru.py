@@ -6,8 +6,10 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 
-HIDDEN, PER_CLASS, WINDOW, TRAIN_LANES, SCORE_LANES = 16, 64, 24, 128, 512
+HIDDEN, PER_CLASS, WINDOW, TRAIN_LANES, SCORE_LANES = 16, 64, 24, 256, 1024
 RATE = 0.08
+#: Long documents are learned from in segments of so many tokens, side by side; scoring carries the state through all of a document.
+SEGMENT = 1_024
 _F = np.float32
 LOG10 = np.log(10.0)
 
@@ -20,6 +22,14 @@ def _soft(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return e / s, (np.log(s) + top)[:, 0]
 
 
+def _log_sum(x: np.ndarray) -> np.ndarray:
+    """Log of the sum of the exponentials of each row; x is overwritten."""
+    top = x.max(axis=1, keepdims=True)
+    x -= top
+    np.exp(x, out=x)
+    return np.log(x.sum(axis=1)) + top[:, 0]
+
+
 def lanes(docs: Sequence[np.ndarray], width: int) -> tuple[list[list[int]], np.ndarray]:
     """Documents dealt to at most `width` lanes, longest first to the shortest lane; lanes by falling length, and the lengths."""
     import heapq
@@ -36,18 +46,25 @@ def lanes(docs: Sequence[np.ndarray], width: int) -> tuple[list[list[int]], np.n
     return [out[k] for k in by], np.array([size[k] for k in by])
 
 
-def grid(docs: Sequence[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(tokens, document of each, first of its document, lane lengths): arrays (steps, lanes), padded at lanes' ends."""
-    dealt, size = lanes(docs, width)
-    steps = int(size[0]) if len(size) else 0
-    token, doc, first = np.zeros((len(dealt), steps), np.int32), np.zeros((len(dealt), steps), np.int32), np.zeros((len(dealt), steps), bool)
-    for k, lane in enumerate(dealt):
-        at = 0
-        for i in lane:
-            n = len(docs[i])
-            token[k, at : at + n], doc[k, at : at + n], first[k, at] = docs[i], i, True
-            at += n
-    return np.ascontiguousarray(token.T), np.ascontiguousarray(doc.T), np.ascontiguousarray(first.T), size
+class Lanes:
+    """Documents in lanes, one after the other: memory is that of the tokens, however long a document is."""
+
+    def __init__(self, docs: Sequence[np.ndarray], width: int) -> None:
+        dealt, self.size = lanes(docs, width)
+        order = [i for lane in dealt for i in lane]
+        self.begin = np.concatenate([[0], np.cumsum(self.size)])[:-1].astype(np.int64)
+        length = np.array([len(docs[i]) for i in order], np.int64)
+        self.token = np.concatenate([docs[i] for i in order]) if order else np.zeros(0, np.int32)
+        self.doc = np.repeat(np.array(order, np.int32), length)
+        self.first = np.zeros(len(self.token), bool)
+        self.first[(np.cumsum(length) - length)[length > 0]] = True
+
+    def windows(self) -> Iterator[tuple[int, list[np.ndarray]]]:
+        """(lanes with a token at the window's start, for each step the places of the tokens in the lanes that go on)."""
+        for start in range(0, int(self.size[0]) if len(self.size) else 0, WINDOW):
+            stop = min(start + WINDOW, int(self.size[0]))
+            alive = np.searchsorted(-self.size, -np.arange(start, stop), side="left")
+            yield int(alive[0]), [self.begin[:n] + t for t, n in zip(range(start, stop), alive.tolist(), strict=True)]
 
 
 class Model:
@@ -60,6 +77,7 @@ class Model:
 
     def __init__(self, counts: Sequence[int], rest: float, seed: int = 1) -> None:
         self.n = len(counts)
+        self.past: dict[str, np.ndarray] | None = None  # sums of squared slopes
         self.classes = -(-self.n // PER_CLASS)
         rng = np.random.default_rng(seed)
         padded = np.zeros(self.classes * PER_CLASS)
@@ -108,82 +126,97 @@ class Model:
     def log10(self, docs: Sequence[np.ndarray]) -> np.ndarray:
         """Log10 probability of each document; for words outside the head, of the last class alone. No window bounds the state."""
         out = np.zeros(len(docs))
-        token, doc, first, size = grid(docs, SCORE_LANES)
-        width = token.shape[1]
-        state, before = np.zeros((width, HIDDEN), _F), np.zeros(width, np.int32)
-        for start in range(0, len(token), WINDOW):
-            n = int(np.searchsorted(-size, -start, side="left"))  # lanes with a token here
-            stop = min(start + WINDOW, len(token))
-            seen = np.empty((stop - start, n, HIDDEN), _F)
-            for t in range(start, stop):
-                fresh = first[t, :n]
+        dealt = Lanes(docs, SCORE_LANES)
+        state, before = np.zeros((len(dealt.size), HIDDEN), _F), np.zeros(len(dealt.size), np.int32)
+        for _, steps in dealt.windows():
+            seen = []
+            for at in steps:
+                n = len(at)
+                fresh = dealt.first[at]
                 state[:n][fresh] = 0
-                into = np.where(fresh, self.n + 1, before[:n])
-                state[:n] = self._step(into, state[:n])[0]
-                seen[t - start] = state[:n]
-                before[:n] = token[t, :n]
-            real = np.arange(start, stop)[:, None] < size[None, :n]
-            y, d, s = token[start:stop, :n][real], doc[start:stop, :n][real], seen[real]
-            logits = s @ self.weights["class"] + self.weights["class_bias"]
-            kind = self._kinds(y)
-            got = logits[np.arange(len(y)), kind] - _soft(logits)[1]
-            for c, at in self._groups(y):
-                inner = s[at] @ self.weights["word"][c].T + self.weights["word_bias"][c]
-                got[at] += inner[np.arange(len(at)), y[at] % PER_CLASS] - _soft(inner)[1]
-            out += np.bincount(d, got, len(docs))
+                state[:n] = self._step(np.where(fresh, self.n + 1, before[:n]), state[:n])[0]
+                seen.append(state[:n].copy())
+                before[:n] = dealt.token[at]
+            at, s = np.concatenate(steps), np.concatenate(seen)
+            y = dealt.token[at]
+            logits = s @ self.weights["class"]
+            logits += self.weights["class_bias"]
+            got = logits[np.arange(len(y)), self._kinds(y)] - _log_sum(logits)
+            for c, where in self._groups(y):
+                inner = s[where] @ self.weights["word"][c].T
+                inner += self.weights["word_bias"][c]
+                got[where] += inner[np.arange(len(where)), y[where] % PER_CLASS] - _log_sum(inner)
+            out += np.bincount(dealt.doc[at], got, len(docs))
         return out / LOG10
 
     def train(self, docs: Sequence[np.ndarray]) -> int:
         """One pass of Adagrad over the documents in windows of WINDOW steps; returns the number of tokens."""
-        token, _, first, size = grid(docs, TRAIN_LANES)
-        width, w, h = token.shape[1], self.weights, HIDDEN
-        past = {k: np.full(v.shape, 1e-4, _F) for k, v in w.items()}
+        docs = [d[a : a + SEGMENT] for d in docs for a in range(0, len(d), SEGMENT)]
+        dealt = Lanes(docs, TRAIN_LANES)
+        width, w, h = len(dealt.size), self.weights, HIDDEN
+        if self.past is None:
+            self.past = {k: np.full(v.shape, 1e-4, _F) for k, v in w.items()}
         state, before = np.zeros((width, h), _F), np.zeros(width, np.int32)
-        for start in range(0, len(token), WINDOW):
-            stop = min(start + WINDOW, len(token))
-            kept, fresh_at = [], []
-            for t in range(start, stop):
-                fresh = first[t]
-                state = np.where(fresh[:, None], _F(0), state)
-                into = np.where(fresh, self.n + 1, before)
-                nxt = self._step(into, state)
-                kept.append((into, state, *nxt))
-                fresh_at.append(fresh)
-                state, before = nxt[0], token[t]
-            real = np.arange(start, stop)[:, None] < size[None, :]
-            seen = np.stack([k[2] for k in kept])
-            y, s = token[start:stop][real], seen[real]
-            grads = {k: np.zeros_like(v) for k, v in w.items()}
-            p, _ = _soft(s @ w["class"] + w["class_bias"])
+        for _, steps in dealt.windows():
+            kept, seen = [], []
+            for at in steps:
+                n = len(at)
+                fresh = dealt.first[at]
+                old = state[:n]
+                old[fresh] = 0
+                into = np.where(fresh, self.n + 1, before[:n])
+                new = self._step(into, old)
+                kept.append((into, old.copy(), fresh, *new))
+                seen.append(new[0])
+                state[:n], before[:n] = new[0], dealt.token[at]
+            at, s = np.concatenate(steps), np.concatenate(seen)
+            y = dealt.token[at]
+            p = s @ w["class"]
+            p += w["class_bias"]
+            p = _soft(p)[0]
             p[np.arange(len(y)), self._kinds(y)] -= 1
-            grads["class"], grads["class_bias"] = s.T @ p, p.sum(axis=0)
+            grads = {"class": s.T @ p, "class_bias": p.sum(axis=0), "word": np.zeros_like(w["word"]), "word_bias": np.zeros_like(w["word_bias"]), "turn": np.zeros_like(w["turn"])}
             back = p @ w["class"].T
-            for c, at in self._groups(y):
-                q, _ = _soft(s[at] @ w["word"][c].T + w["word_bias"][c])
-                q[np.arange(len(at)), y[at] % PER_CLASS] -= 1
-                grads["word"][c], grads["word_bias"][c] = q.T @ s[at], q.sum(axis=0)
-                back[at] += q @ w["word"][c]
-            out = np.zeros_like(seen)
-            out[real] = back
+            for c, where in self._groups(y):
+                own = s[where]
+                q = own @ w["word"][c].T
+                q += w["word_bias"][c]
+                q = _soft(q)[0]
+                q[np.arange(len(where)), y[where] % PER_CLASS] -= 1
+                grads["word"][c], grads["word_bias"][c] = q.T @ own, q.sum(axis=0)
+                back[where] += q @ w["word"][c]
             carry = np.zeros((width, h), _F)
-            slopes = []
-            for t in range(stop - start - 1, -1, -1):
-                into, old, _, keep, reset, new, un = kept[t]
-                g = out[t] + carry
+            slopes, end = [], len(y)
+            for into, old, fresh, _, keep, reset, new, un in reversed(kept):
+                n = len(into)
+                g = back[end - n : end] + carry[:n]
+                end -= n
+                outer = np.empty((n, 3 * h), _F)
                 d_new = g * (1 - keep) * (1 - new * new)
-                d_keep = g * (old - new) * keep * (1 - keep)
-                d_reset = d_new * un * reset * (1 - reset)
-                outer = np.concatenate([d_keep, d_reset, d_new], axis=1)
-                inner = np.concatenate([d_keep, d_reset, d_new * reset], axis=1)
+                outer[:, :h] = g * (old - new) * keep * (1 - keep)
+                outer[:, h : 2 * h] = d_new * un * reset * (1 - reset)
+                outer[:, 2 * h :] = d_new
+                inner = outer.copy()
+                inner[:, 2 * h :] *= reset
                 grads["turn"] += old.T @ inner
                 slopes.append((into, outer))
-                carry = np.where(fresh_at[t][:, None], _F(0), g * keep + inner @ w["turn"].T)
+                carry[:n] = g * keep + inner @ w["turn"].T
+                carry[:n][fresh] = 0
             into, outer = np.concatenate([x for x, _ in slopes]), np.concatenate([x for _, x in slopes])
-            np.add.at(grads["enter"], into, outer)
             grads["bias"] = outer.sum(axis=0)
+            order = np.argsort(into, kind="stable")
+            rows, starts = np.unique(into[order], return_index=True)
             scale = _F(1 / max(1, width))
+            self._move("enter", np.add.reduceat(outer[order], starts, axis=0) * scale, rows)
             for k, g in grads.items():
-                g = np.clip(g * scale, -1, 1)
-                past[k] += g * g
-                w[k] -= _F(RATE) * g / np.sqrt(past[k])
-        return int(size.sum())
+                self._move(k, g * scale)
+        return len(dealt.token)
+
+    def _move(self, name: str, g: np.ndarray, rows: np.ndarray | slice = slice(None)) -> None:
+        """A step of Adagrad for the rows of a weight."""
+        np.clip(g, -1, 1, out=g)
+        past = self.past[name][rows] + g * g
+        self.past[name][rows] = past
+        g *= _F(RATE)
+        g /= np.sqrt(past)
+        self.weights[name][rows] -= g

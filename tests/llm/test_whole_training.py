@@ -11,3 +11,22 @@ def test_every_learned_row_trains(docs, rows, monkeypatch):
     lm.score(docs)
     learned = [r[0] for r in rows if zlib.crc32(("" if r[0] is None else str(r[0])).encode()) % 10]
     assert sorted(seen, key=str) == sorted(learned, key=str)
+
+
+def test_a_very_long_document_takes_the_memory_of_its_tokens():
+    import tracemalloc
+
+    import numpy as np
+
+    from skyquilt.llm import gru
+
+    rng = np.random.default_rng(2)
+    docs = [rng.integers(0, 40, 60_000).astype(np.uint16), *(rng.integers(0, 40, 20).astype(np.uint16) for _ in range(600))]
+    model = gru.Model(np.arange(40, 0, -1), 1.0)
+    tracemalloc.start()
+    assert model.train(docs) == 60_000 + 600 * 20
+    scores = model.log10(docs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
+    assert abs(scores[0] - model.log10(docs[:1])[0]) < 1e-2 and len(scores) == 601
