@@ -37,7 +37,7 @@ def op2_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["doc_id", "size", "text_crc32", "shard", "slot", "old_shard"]
     text = F.coalesce(F.col("text"), F.lit(""))
     size, crc = (F.octet_length(text) + 16).cast("long"), F.crc32(text.cast("binary"))
-    rows = read_shards(spark, root, docs.schema).select("doc_id", size.alias("size"), crc.alias("text_crc32"), "shard", "slot", old.alias("old_shard")) if done else None
+    rows = read_shards(spark, root, docs.schema, F.col("doc_id"), size.alias("size"), crc.alias("text_crc32"), old.alias("old_shard")).select(*columns) if done else None
     if len(done) < SHARDS:
         kept = solved.rows(docs).where(~F.col("shard").isin(done)).select(*columns)
         rows = rows.union(kept) if done else kept

@@ -5,7 +5,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -255,15 +255,16 @@ def rewrite_affected(docs: DataFrame, solved: Transfer, root: str) -> list[int]:
     return touched
 
 
-def read_shards(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+def read_shards(spark: SparkSession, root: str, schema: StructType, *columns: Column) -> DataFrame:
     """The rows that the shard files below root hold, with shard and slot; schema is that of the rows, without these two.
 
-    slot: the rows in earlier files of the shard, by name, and the row's place in its own file.
+    slot: the rows in earlier files of the shard, by name, and the row's place in its own file. columns: expressions to return
+    instead of the rows, computed before files are joined with their counts, so that texts they shorten are not shuffled.
     """
     held = StructType([*[f for f in schema if f.name not in ("shard", "slot")], StructField("shard", IntegerType())])
     rows = spark.read.schema(held).parquet(root)
     per_file = rows.select("shard", F.col("_metadata.file_path").alias("_file")).groupBy("shard", "_file").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("shard").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     begun = per_file.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_begin"))  # a row per file
-    placed = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    placed = rows.select(*(columns or [F.col(f"`{c}`") for c in rows.columns if c != "shard"]), "shard", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
     return placed.join(begun, "_file").withColumn("slot", F.col("_begin") + F.col("_row")).drop("_file", "_begin", "_row")
