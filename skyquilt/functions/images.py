@@ -25,34 +25,33 @@ def crop(px: Column, width: Column | int, y0: Column, y1: Column, x0: Column, x1
     return F.flatten(F.transform(F.sequence(y0, y1 - 1), lambda y: F.slice(px, y * _int(width) + x0 + 1, x1 - x0)))
 
 
+def _placed(p: Column, height: Column, width: Column, n: Column, top: Column, left: Column) -> Column:
+    """Content with rows and columns of zeros around it; whole rows are put together, not pixels."""
+    zeros = lambda count: F.array_repeat(F.lit(0.0), count.cast("int"))
+    row = lambda y: F.concat(zeros(left), F.slice(p, y * width + 1, width), zeros(n - width - left))
+    return F.concat(zeros(top * n), F.flatten(F.transform(F.sequence(F.lit(0), height - 1), row)), zeros((n - height - top) * n))
+
+
 def pad_centred(px: Column, height: Column, width: Column, n: Column) -> Column:
     """Content of height x width in the middle of n x n zeros."""
     top, left = F.floor((n - height) / 2).cast("int"), F.floor((n - width) / 2).cast("int")
-
-    def at(i: Column) -> Callable[[Column], Column]:
-        y, x = F.floor(i / n).cast("int") - top, F.pmod(i, n) - left
-        inside = (y >= 0) & (y < height) & (x >= 0) & (x < width)
-        return lambda p: F.when(inside, F.get(p, y * width + x)).otherwise(F.lit(0.0))
-
-    return let(px, lambda p: F.when((height == n) & (width == n), p).otherwise(F.transform(F.sequence(F.lit(0), n * n - 1), lambda i: at(i)(p))))
+    return let(px, lambda p: F.when((height == n) & (width == n), p).otherwise(_placed(p, height, width, n, top, left)))
 
 
 def place_true(px: Column, height: Column, width: Column, n: Column, top: Column, left: Column) -> Column:
     """Content at its true place in n x n zeros: top and left pixels of the cutout lie outside the tile."""
+    return let(px, lambda p: F.when((height == n) & (width == n), p).otherwise(_placed(p, height, width, n, top, left)))
 
-    def at(i: Column) -> Callable[[Column], Column]:
-        y, x = F.floor(i / n).cast("int") - top, F.pmod(i, n) - left
-        inside = (y >= 0) & (y < height) & (x >= 0) & (x < width)
-        return lambda p: F.when(inside, F.get(p, y * width + x)).otherwise(F.lit(0.0))
 
-    return let(px, lambda p: F.transform(F.sequence(F.lit(0), n * n - 1), lambda i: at(i)(p)))
+def flux_factor(zero_point: Column) -> Column:
+    """Jansky of a count; a missing zero point is an error."""
+    factor = F.pow(F.lit(10.0), zero_point * -0.4) * AB_ZERO
+    return F.when(zero_point.isNull(), F.raise_error(F.lit("missing zero point")).cast("double")).otherwise(factor)
 
 
 def to_flux(px: Column, zero_point: Column) -> Column:
     """Jansky from counts; a missing zero point is an error."""
-    factor = F.pow(F.lit(10.0), zero_point * -0.4) * AB_ZERO
-    known = F.when(zero_point.isNull(), F.raise_error(F.lit("missing zero point")).cast("double")).otherwise(factor)
-    return let(known, lambda k: F.transform(px, lambda v: v * k))
+    return let(flux_factor(zero_point), lambda k: F.transform(px, lambda v: v * k))
 
 
 def mixed(channels: Column, weights: Sequence[float]) -> Column:

@@ -21,7 +21,12 @@ FILTERS = (
 
 
 def normalised(path: Column) -> Column:
-    """A path without repeated slashes, `.` and `..` steps and a trailing slash; `..` above the root of an absolute path goes."""
+    """A path without repeated slashes, `.` and `..` steps and a trailing slash; `..` above the root of an absolute path goes.
+    Most paths have none of these and are not taken apart."""
+    return F.when(path.rlike(r"//|(?:^|/)\.\.?(?:/|$)|/$|^$"), _folded(path)).otherwise(path)
+
+
+def _folded(path: Column) -> Column:
     rooted = path.startswith("/")
     none = F.array().cast("array<string>")
     last = lambda acc: F.get(acc, F.size(acc) - 1)
@@ -35,13 +40,17 @@ def normalised(path: Column) -> Column:
 
 
 def parsed(text: Column, normalise: bool = True) -> Column:
-    """The list that a string holds: a list literal, a bare path, or nothing. One bracket without the other is an error."""
+    """The list that a string holds: a list literal, a bare path, or nothing. One bracket without the other is an error, and so
+    are brackets around anything but strings; a comma may follow the last one."""
     value = F.trim(text)
     opened, closed = value.startswith("["), value.endswith("]")
+    literal = F.from_json(F.regexp_replace(value, r",\s*\]$", "]"), "array<string>")
+    bad = F.raise_error(F.concat(F.lit("not a list of paths: "), value)).cast("array<string>")
     found = (
         F.when(value == "", F.array().cast("array<string>"))
         .when(opened != closed, F.raise_error(F.concat(F.lit("mismatched bracket in path list: "), value)).cast("array<string>"))
-        .when(opened, F.from_json(value, "array<string>"))
+        .when(opened & (literal.isNull() | F.exists(literal, lambda p: p.isNull())), bad)
+        .when(opened, literal)
         .otherwise(F.array(value))
     )
     return F.transform(found, normalised) if normalise else found

@@ -14,9 +14,6 @@ from ..functions import images as I
 from ..functions import paths as P
 from ..functions import wcs as W
 
-#: Bytes of tile headers up to which they are broadcast; larger header tables are joined by shuffle, as AQE sees fit.
-HEADER_BROADCAST_ROWS = 200_000
-
 
 def with_bounds(files: DataFrame, padding: float = 1.0) -> DataFrame:
     """files: a row per source and file with RA, Dec, diameter_pixel, diameter_arcsec, wcs, naxis1, naxis2.
@@ -61,6 +58,13 @@ def in_flux(cutouts: DataFrame) -> DataFrame:
     return cutouts.withColumn("px", I.to_flux(F.col("px"), F.col("magzero")))
 
 
+def total_flux(placed: DataFrame, pixels: DataFrame) -> DataFrame:
+    """placed with flux, the sum of a cutout's pixels in jansky. Zeros around it add nothing, so they are not made."""
+    both = placed.join(pixels, ["path", "ext"])
+    raw = I.crop(F.col("tile"), F.col("naxis1"), F.col("cy_min"), F.col("cy_max"), F.col("cx_min"), F.col("cx_max"))
+    return both.withColumn("flux", F.aggregate(raw, F.lit(0.0), lambda s, v: s + v) * I.flux_factor(F.col("magzero"))).drop("tile")
+
+
 def stacked(cutouts: DataFrame, source: Sequence[str], channels: int | None, channel: str = "channel_no", pixel: str = "px") -> DataFrame:
     """source columns and `channels`, an array of images by channel number. With a number of channels, a missing one is
     a plane of zeros; with None only those present are stacked, and their sizes must agree."""
@@ -73,12 +77,12 @@ def stacked(cutouts: DataFrame, source: Sequence[str], channels: int | None, cha
     return rows.withColumn("channels", F.array(*[F.coalesce(found(F.lit(i)), zero) for i in range(channels)])).drop("all")
 
 
-def mapping(batched: DataFrame, source: str = "SourceID", batch: str = "batch", order: str = "row_idx") -> DataFrame:
-    """SourceID, zarr_file and batch_index: which file of which batch holds a source, by place in the batch."""
-    from .batching import ranked
+def mapping(written: DataFrame, source: str = "SourceID", batch: str = "batch", place: str = "idx_in_zarr") -> DataFrame:
+    """SourceID, zarr_file, batch_index (the number of the batch) and idx_in_zarr (the place in its array) of the sources written.
 
-    one = ranked(batched, [batch], order, "batch_index")
-    return one.select(F.col(source).alias("SourceID"), F.format_string("batch_%03d/images.zarr", F.col(batch)).alias("zarr_file"), "batch_index")
+    Sources without an image are not in it: they are neither found in another's place nor taken for done.
+    """
+    return written.select(F.col(source).alias("SourceID"), F.format_string("batch_%03d/images.zarr", F.col(batch)).alias("zarr_file"), F.col(batch).cast("long").alias("batch_index"), F.col(place).cast("long").alias("idx_in_zarr"))
 
 
 def remaining(catalogue: DataFrame, done: DataFrame) -> DataFrame:

@@ -113,7 +113,7 @@ ORACLES = {
     "chunk_shape": """WITH p AS (SELECT p_partkey, CAST(p_size * 300 AS INT) AS side, CASE WHEN p_partkey % 2 = 0 THEN 4 ELSE 1 END AS b FROM part), z AS (SELECT *, CAST(side AS DOUBLE) * side * 4 * b AS one, CAST(1.8 AS DOUBLE) * 1073741824 AS most FROM p),
         c AS (SELECT *, least(1000, greatest(1, CAST(floor(most / one) AS BIGINT))) AS images FROM z)
         SELECT p_partkey, images, CASE WHEN images = 1 AND one > most THEN greatest(1, CAST(trunc(side / sqrt(one / most)) AS INT)) ELSE side END AS height, CASE WHEN images = 1 AND one > most THEN greatest(1, CAST(trunc(side / sqrt(one / most)) AS INT)) ELSE side END AS width, 4 AS channels FROM c""",
-    "source_mapping": "SELECT CAST(o_orderkey AS VARCHAR) AS SourceID, printf('batch_%03d/images.zarr', o_orderkey // 700) AS zarr_file, row_number() OVER (PARTITION BY o_orderkey // 700 ORDER BY o_orderkey) - 1 AS batch_index FROM orders",
+    "source_mapping": "SELECT CAST(o_orderkey AS VARCHAR) AS SourceID, printf('batch_%03d/images.zarr', o_orderkey // 700) AS zarr_file, o_orderkey // 700 AS batch_index, row_number() OVER (PARTITION BY o_orderkey // 700 ORDER BY o_orderkey) - 1 AS idx_in_zarr FROM orders WHERE o_orderkey % 5 <> 0",
     "resume_remaining": "SELECT CAST(o_orderkey AS VARCHAR) AS SourceID, o_custkey FROM orders WHERE o_custkey % 3 <> 0",
     "channel_stack": f"WITH {_STACK} SELECT source, round(coalesce(sum(v * (i + 1)) FILTER (c = 0), 0), 4) AS c0, round(coalesce(sum(v * (i + 1)) FILTER (c = 1), 0), 4) AS c1, round(coalesce(sum(v * (i + 1)) FILTER (c = 2), 0), 4) AS c2 FROM q GROUP BY 1",
     "raw_stack": f"WITH {_STACK}, k AS (SELECT source, c, row_number() OVER (PARTITION BY source ORDER BY c) - 1 AS place FROM e) SELECT source, count(DISTINCT c) AS n, round(sum(v * (place * 64 + i + 1)), 4) AS moment FROM q JOIN k USING (source, c) GROUP BY 1",

@@ -142,27 +142,36 @@ class CutoutJob:
 
     # -- runs --------------------------------------------------------------------------------------------------
     def run(self, source: str | DataFrame | None = None) -> dict[str, Any]:
-        """Write all cutouts, metadata and the mapping; a failure is reported in the result, not raised."""
+        """Write all cutouts, metadata and the mapping; a failure is reported in the result, not raised.
+
+        Sources of which no image was written, because they lie off their tiles or have no file that can be read, count as failed.
+        """
         self.started = time.time()
         try:
             C.validated_for_processing(dict(self.config) | {"source_catalogue": source if isinstance(source, str) else self.config.get("source_catalogue") or "frame"})
             source = self.config["source_catalogue"] if source is None else source
             self.spark.sparkContext.setJobGroup(self.group, "cutouts", True)
-            rows = self.batched(self.catalogue(source)).persist()
-            root = self.config["output_dir"]
-            self._tell(status="running", total_sources=rows.count())
+            whole = self.catalogue(source)
+            rows = self.batched(whole).persist()
+            root, total = self.config["output_dir"], whole.count()
+            self._tell(status="running", total_sources=total)
             out = self.images(rows)
             if self.config["output_format"] == "fits":
                 named = out.withColumn("file_name", P.fits_file_name(F.col("SourceID"), F.col("RA"), F.col("Dec")))
                 channels = list(self.config["channel_weights"]) if self.config["do_only_cutout_extraction"] else None
                 written = sinks.write_fits(named, root, "float32" if self.config["do_only_cutout_extraction"] else self.config["data_type"], self.config["normalisation_method"], channels)
-                done, failed = written.agg(F.count_if(F.col("error").isNull()), F.count_if(F.col("error").isNotNull())).first()
+                mapping = f"{root}/source_to_fits_mapping.parquet"
+                sinks.write_mapping(written, mapping)
+                done = self.spark.read.parquet(mapping).where("error is null").count()
             else:
                 n = len(next(iter(self.config["channel_weights"].values())))
-                done, failed = sinks.write_arrays(out, root, self.config["target_resolution"], n, self.config["data_type"]).agg(F.coalesce(F.sum("n"), F.lit(0)), F.lit(0)).first()
-            mapping = f"{root}/source_mapping.parquet"
-            sinks.write_mapping(rows.select("SourceID", F.format_string("batch_%03d/images.zarr", "batch").alias("zarr_file"), "batch_index"), mapping)
-            self._tell(status="completed", completed_sources=done, failed_sources=failed, mapping_parquet=mapping, completed_batches=rows.select("batch").distinct().count())
+                mapping = f"{root}/source_to_zarr_mapping.parquet"
+                # images are written as the mapping is: one pass, and no source in it that has none
+                sinks.write_mapping(cutouts.mapping(sinks.write_arrays(out, root, self.config["target_resolution"], n, self.config["data_type"])), mapping)
+                done = self.spark.read.parquet(mapping).count()
+            batches = rows.select("batch").distinct().count()
+            self._tell(status="completed", completed_sources=done, failed_sources=total - done, mapping_parquet=mapping, completed_batches=batches)
+            rows.unpersist()
         except Exception as e:  # the caller gets a report, as a batch job's
             self._tell(status="failed", error=str(e), error_type=type(e).__name__)
         return self.status

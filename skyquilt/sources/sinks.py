@@ -76,7 +76,7 @@ def write_fits(cutouts: DataFrame, folder: str, data_type: str = "float32", stre
 
 def write_arrays(cutouts: DataFrame, folder: str, size: int, channels: int, data_type: str = "float32", batch: str = "batch", order: str = "batch_index") -> DataFrame:
     """Each batch as folder/batch_NNN/images.zarr, an uncompressed version 2 array (n, y, x, channel), with a Parquet table of its
-    metadata; returns batch, n. Batches are bounded by the plan that numbers them. Chunks of whole images follow chunk_shape()."""
+    metadata; returns batch, SourceID and idx_in_zarr of every image written. Batches are bounded by the plan that numbers them. Chunks of whole images follow chunk_shape()."""
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order)
@@ -99,9 +99,9 @@ def write_arrays(cutouts: DataFrame, folder: str, size: int, channels: int, data
                     with open(os.path.join(store, f"{k // shape[0]}.{y // shape[1]}.{x // shape[2]}.0"), "wb") as f:
                         f.write(part.tobytes())
         pdf.drop(columns=["images"]).assign(idx_in_zarr=range(len(pdf))).to_parquet(os.path.join(root, "images_metadata.parquet"))
-        return pd.DataFrame({"batch": [int(key[0])], "n": [len(pdf)]})
+        return pd.DataFrame({"batch": int(key[0]), "SourceID": pdf["SourceID"].astype(str), "idx_in_zarr": range(len(pdf))})
 
-    return cutouts.groupBy(batch).applyInPandas(run, "batch long, n long")
+    return cutouts.groupBy(batch).applyInPandas(run, "batch long, SourceID string, idx_in_zarr long")
 
 
 def read_array(store: str) -> np.ndarray:

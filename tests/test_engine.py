@@ -46,7 +46,24 @@ def test_job_writes_arrays_metadata_and_mapping(spark, sky):
     assert done["completed_sources"] == 19  # one is off the tile
     a = sinks.read_array(f"{d}/out/batch_000/images.zarr")
     assert a.shape == (19, 16, 16, 2) and a.min() >= 0 and a.max() <= 1
-    assert spark.read.parquet(f"{d}/out/source_mapping.parquet").count() == 20
+    assert done["total_sources"] == 20 == done["completed_sources"] + done["failed_sources"]
+    found = {r["SourceID"]: r for r in spark.read.parquet(f"{d}/out/source_to_zarr_mapping.parquet").collect()}
+    assert set(found) == {f"s{i:02d}" for i in range(19)} and {r["batch_index"] for r in found.values()} == {0}
+    meta = {r["SourceID"]: r["idx_in_zarr"] for r in spark.read.parquet(f"{d}/out/batch_000/images_metadata.parquet").collect()}
+    assert meta == {k: r["idx_in_zarr"] for k, r in found.items()}
+
+
+def test_a_source_is_found_in_its_own_place(spark, sky):
+    """Sources off the tile, at the catalogue's start too, move no other's place."""
+    d, _ = sky
+    rows = [(i, f"t{i}", 180.0 + (5.0 if i in (0, 3, 6) else (i - 5) * 1e-4), 0.0, 5 + 2 * i, f"{d}/VIS.fits") for i in range(10)]
+    cat = spark.createDataFrame(rows, "row_idx long, SourceID string, RA double, Dec double, diameter_pixel int, fits_file_paths string")
+    done = CutoutJob(spark, config(d, output_dir=f"{d}/place", channel_weights={"VIS": [1.0]}, do_only_cutout_extraction=False)).run(cat)
+    assert (done["total_sources"], done["completed_sources"], done["failed_sources"]) == (10, 7, 3), done
+    meta = {r["idx_in_zarr"]: r for r in spark.read.parquet(f"{d}/place/batch_000/images_metadata.parquet").collect()}
+    for r in spark.read.parquet(done["mapping_parquet"]).collect():
+        assert meta[r["idx_in_zarr"]]["SourceID"] == r["SourceID"]
+        assert meta[r["idx_in_zarr"]]["diameter_pixel"] == 5 + 2 * int(r["SourceID"][1:])
 
 
 def test_raw_cutouts_hold_the_tile_pixels(spark, sky):
@@ -61,7 +78,7 @@ def test_raw_cutouts_hold_the_tile_pixels(spark, sky):
     assert np.array_equal(px, images["VIS"][start : start + n, start : start + n])
     assert h["CRVAL1"] == 180.0 and set(found) == {"VIS", "NIR-H"}
     again = CutoutJob(spark, c).run()
-    assert again["failed_sources"] == 19  # files are there already
+    assert again["failed_sources"] == 20  # files are there already, and one is off the tile
 
 
 def test_failures_are_reported(spark, sky):

@@ -29,8 +29,12 @@ def test_path_lists(spark):
     assert got('["/a.fits"]') == ["/a.fits"]
     assert got("  /a/./b.fits ") == ["/a/b.fits"]
     assert got("[]") == [] and got("") == [] and got("   ") == []
+    assert got("['/a.fits', '/b.fits', ]") == ["/a.fits", "/b.fits"]
     with pytest.raises(Exception, match="mismatched bracket"):
         got("['/a.fits'")
+    for bad in ("[/a/b.fits]", "['/a.fits', None]"):
+        with pytest.raises(Exception, match="not a list of paths"):
+            got(bad)
 
 
 @pytest.mark.parametrize(("name", "band"), [("X_VIS_1.fits", "VIS"), ("/VIS/nir_h.fits", "NIR-H"), ("NIRY.fits", "NIR-Y"), ("tile_Y.fits", "Y"), ("H1.fits", "H"), ("THING.fits", "UNKNOWN"), ("J-band", "J")])
