@@ -22,7 +22,11 @@ KINDS = ("assign", "access", "hex", "crf")
 KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
 #: Bounds of the training sample: documents with a keyword or access prefix, others, and pieces of PIECE words of them.
-HINTED, OTHERS, PIECE, PIECES = 256, 256, 24, 4_000
+HINTED, OTHERS, PIECE, PIECES = 256, 256, 24, 8_000
+#: Characters of a sampled text that pieces are cut from, beginning at a place by a hash of its id.
+SAMPLE_CHARS = 20_000
+#: Views of a secret without its keyword that the field learns from.
+VARIANTS = 3
 TURNS, RATE, DECAY = 150, 0.1, 1e-4
 OUT, BEGIN, INSIDE = 0, 1, 2
 _KEYWORD = re.compile(rb"(?i)" + b"|".join(KEYWORDS))
@@ -48,10 +52,14 @@ def joined(spans: list[Span]) -> str:
 
 
 # a word's features, each a range of ids in one table: shape, keyword, words before, word after, the two
-# neighbouring words by hash, changes of character class, and the file
-_SIZES = (80, 4, 8, 4, 128, 128, 5, 10)
+# neighbouring words by hash, and the file
+_SIZES = (400, 4, 8, 4, 2048, 2048, 10)
 _BASE = np.concatenate([[0], np.cumsum(_SIZES)])[:-1]
 PAD = sum(_SIZES)
+# a shape's weights are sums over what makes it up, so that shapes never seen are judged by their parts: steps of length, steps
+# of changes of character class, and whether there are digits, capitals, small letters and marks
+_STEPS = (8, 16, 24, 40), (2, 4, 8, 16)
+_PARTS = np.array([[*(k // 80 > i for i in range(4)), *(k % 5 > i for i in range(4)), *(k // 5 % 16 >> i & 1 for i in range(4))] for k in range(_SIZES[0])], float)
 
 
 class Features:
@@ -69,10 +77,10 @@ class Features:
             return total[w.ends] - total[w.starts]
 
         kinds = digit * 1 + upper * 2 + lower * 3
-        turns = np.digitize(has(np.concatenate([[False], kinds[1:] != kinds[:-1]])), [2, 4, 8, 16])
+        turns = np.digitize(has(np.concatenate([[False], kinds[1:] != kinds[:-1]])), _STEPS[1])
         digits = has(digit) > 0
         length = w.ends - w.starts
-        self.shape = np.digitize(length, [8, 16, 24, 40]) * 16 + digits * 8 + (has(upper) > 0) * 4 + (has(lower) > 0) * 2 + (has(mark) > 0)
+        self.shape = (np.digitize(length, _STEPS[0]) * 16 + digits * 8 + (has(upper) > 0) * 4 + (has(lower) > 0) * 2 + (has(mark) > 0)) * 5 + turns
         self.keyed = np.zeros(n, bool)
         self.hinted = np.zeros(len(texts), bool)  # documents with a keyword
         self.longs = np.zeros(len(texts), bool)  # documents with a word of 32 bytes or more
@@ -96,10 +104,10 @@ class Features:
                 out[:by] = np.where(doc[:by] == doc[-by:], x[-by:], 0)
             return out
 
-        small = (w.hashes() % np.uint64(127)).astype(np.int64) + 1
+        small = (w.hashes() % np.uint64(2047)).astype(np.int64) + 1
         share = np.bincount(doc, digits, len(texts)) / np.maximum(1, np.diff(w.first))
         file = np.digitize(share, [1e-9, 0.002, 0.01, 0.05]) * 2 + self.hinted
-        columns = (self.shape, key, shifted(key, 1) * 2 + shifted(self.keyed.astype(np.int64), 2), shifted(digits * 2 + (length >= 16), -1), shifted(small, 1), shifted(small, -1), turns, file[doc])
+        columns = (self.shape, key, shifted(key, 1) * 2 + shifted(self.keyed.astype(np.int64), 2), shifted(digits * 2 + (length >= 16), -1), shifted(small, 1), shifted(small, -1), file[doc])
         self.ids = np.stack([c.astype(np.int64) + b for c, b in zip(columns, _BASE, strict=True)], axis=1).astype(np.int32)
         self.digits = digits
 
@@ -123,7 +131,7 @@ class Field:
     def fit(cls, ids: np.ndarray, labels: np.ndarray) -> Field:
         """Maximum conditional likelihood by forward and backward sums; ids (pieces, words, features), labels (pieces, words)."""
         n, t, _ = ids.shape
-        weights = [np.zeros((PAD + 1, 3)), np.zeros((3, 3))]
+        weights = [np.zeros((PAD + 1, 3)), np.zeros((3, 3)), np.zeros((_PARTS.shape[1], 3))]
         weights[0][:, OUT] = 0.5
         moments = [[np.zeros_like(w), np.zeros_like(w)] for w in weights]
         truth = np.eye(3)[labels]
@@ -131,6 +139,7 @@ class Field:
         np.add.at(pairs, (labels[:, :-1].ravel(), labels[:, 1:].ravel()), 1)
         flat = ids.reshape(-1, ids.shape[2])
         for turn in range(1, TURNS + 1):
+            weights[0][: _SIZES[0]] = _PARTS @ weights[2]
             emit = weights[0][ids].sum(axis=2)
             move = np.exp(weights[1])
             e = np.exp(emit - emit.max(axis=2, keepdims=True))
@@ -151,11 +160,13 @@ class Field:
                 two += (both / both.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
             wrong = (one.transpose(1, 0, 2) - truth).reshape(-1, 3)
             slope = np.stack([sum(np.bincount(flat[:, f], wrong[:, y], PAD + 1) for f in range(flat.shape[1])) for y in range(3)], axis=1)
-            for w, g, m in zip(weights, (slope / n + DECAY * weights[0], (two - pairs) / n + DECAY * weights[1]), moments, strict=True):
+            parts = _PARTS.T @ slope[: _SIZES[0]]
+            for w, g, m in zip(weights, (slope / n + DECAY * weights[0], (two - pairs) / n + DECAY * weights[1], parts / n + DECAY * weights[2]), moments, strict=True):
                 m[0][:] = 0.9 * m[0] + 0.1 * g
                 m[1][:] = 0.99 * m[1] + 0.01 * g * g
                 w -= RATE * (m[0] / (1 - 0.9**turn)) / (np.sqrt(m[1] / (1 - 0.99**turn)) + 1e-8)
-        return cls(*weights)
+        weights[0][: _SIZES[0]] = _PARTS @ weights[2]
+        return cls(*weights[:2])
 
     def viterbi(self, emit: np.ndarray, before: bool = False, after: bool = False) -> list[int]:
         """The best labels; before, after: a word labelled outside stands there."""
@@ -194,7 +205,8 @@ class Field:
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Field:
-    """A field fitted to base spans in a bounded sample: HINTED documents with a keyword or prefix and OTHERS, by a hash of the id."""
+    """A field fitted to base spans in a bounded sample: HINTED documents with a keyword or prefix and OTHERS, by a hash of the id,
+    SAMPLE_CHARS characters of each. Null ids and texts teach nothing; without rows the field tags nothing."""
     text = F.col(text_col)
     low = F.lower(text)
     hint = text.contains("AKIA")
@@ -202,30 +214,50 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Fi
         hint = hint | low.contains(k.decode())
     key = docs.where(text.isNotNull()).select(F.col(id_col).alias("i"), F.xxhash64(F.col(id_col), F.lit(5)).alias("h"), hint.alias("hint"), F.char_length(text).alias("c"))
     pick = key.where("hint").orderBy("h", "i").limit(HINTED).unionAll(key.where("not hint").orderBy("h", "i").limit(OTHERS))
-    # pieces of words are cut from at most so many characters of a sampled text
-    texts = docs.join(F.broadcast(pick.select("i").distinct()), F.col(f"`{id_col}`") == F.col("i")).select(F.xxhash64("i").alias("h"), F.substring(text_col, 1, 20_000).alias("t"))
+    begin = (F.pmod(F.xxhash64("i", F.lit(9)), F.greatest(F.lit(1), F.char_length(text_col) - SAMPLE_CHARS + 1)) + 1).cast("int")
+    texts = docs.join(F.broadcast(pick.select("i").distinct()), F.col(f"`{id_col}`") == F.col("i")).select(F.xxhash64("i").alias("h"), F.substring(F.col(text_col), begin, F.lit(SAMPLE_CHARS)).alias("t"))
     sample = [r["t"] for r in texts.orderBy("h", "t").limit(HINTED + OTHERS).collect()]
     return Field.fit(*_pieces(sample))
 
 
 def _pieces(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces around secrets, around words with digits and from anywhere, in two views: as they are, and, for pieces with a secret,
+    as if no keyword stood there, where only the secret's own word is tagged. So the field learns what secrets look like."""
     rng = np.random.default_rng(7)
     ids, labels = [], []
+
+    def add(i: np.ndarray, y: np.ndarray) -> None:
+        ids.append(np.concatenate([i, np.full((PIECE - len(i), i.shape[1]), PAD, np.int32)]))
+        labels.append(np.concatenate([y, np.zeros(PIECE - len(y), np.int64)]))
+
     for text in texts:
         f = Features([text])
         n = len(f.ids)
-        label = np.zeros(n, np.int64)
+        label, bare = np.zeros(n, np.int64), np.zeros(n, np.int64)
         for a, b, _ in base_spans(text):
             a, b = f.bytes_at(0, text, a), f.bytes_at(0, text, b)
             inside = np.flatnonzero((f.words.starts < b) & (f.words.ends > a))
             label[inside] = INSIDE
             label[inside[:1]] = BEGIN
-        middles = [*np.flatnonzero(label == BEGIN)[:4], *np.flatnonzero(f.digits & (label == OUT))[:4], *rng.integers(0, max(1, n), 4)]
+            bare[[k for k in inside if f.digits[k] and f.words.ends[k] - f.words.starts[k] >= LEAST["assign"] and not f.keyed[k]]] = BEGIN
+        hidden = f.ids.copy()
+        hidden[:, 1] = _BASE[1] + (f.ids[:, 1] - _BASE[1]) % 2
+        hidden[:, 2] = _BASE[2]
+        hidden[:, 6] = _BASE[6] + (f.ids[:, 6] - _BASE[6]) // 2 * 2
+        plain = np.flatnonzero(f.digits & (label == OUT))
+        middles = [*np.flatnonzero(label == BEGIN)[:4], *(rng.permutation(plain)[:6] if len(plain) else []), *rng.integers(0, max(1, n), 4)]
         for m in middles if n else []:
             a = max(0, int(m) - PIECE // 2)
-            i, y = f.ids[a : a + PIECE], label[a : a + PIECE]
-            ids.append(np.concatenate([i, np.full((PIECE - len(i), i.shape[1]), PAD, np.int32)]))
-            labels.append(np.concatenate([y, np.zeros(PIECE - len(y), np.int64)]))
+            add(f.ids[a : a + PIECE], label[a : a + PIECE])
+        for m in np.flatnonzero(bare)[:4]:
+            a = max(0, int(m) - PIECE // 2)
+            for _ in range(VARIANTS):
+                # another secret of the kind: as long or a step or two shorter, with or without capitals and marks
+                k = int(f.ids[m, 0])
+                flags = (k // 5 % 16) ^ int(rng.choice([0, 1, 4, 5]))
+                view = hidden[a : a + PIECE].copy()
+                view[m - a, 0] = max(2, k // 80 - int(rng.integers(0, 3))) * 80 + flags * 5 + k % 5
+                add(view, bare[a : a + PIECE])
     if not ids:
         ids, labels = [np.full((PIECE, len(_SIZES)), PAD, np.int32)], [np.zeros(PIECE, np.int64)]
     return np.stack(ids[:PIECES]), np.stack(labels[:PIECES])
