@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, fresh_dir, text_or_empty, written
+from .common import SPACE, fresh_dir, sieve, text_or_empty, written
 
 #: State on the executors' disks. Without fallocate a partition takes the disk it needs, not some MB for its logs at once.
 STATE = {
@@ -63,15 +63,15 @@ def exact_dedup(spark: SparkSession, table: str, id_col: str = "doc_id", text_co
     larger than any other and keeps only a group of its own; repeated rows count in group_size and are all marked kept when
     they carry keep_id; extra columns of any name are ignored; an empty table gives an empty result.
 
-    Hits are checked on full bytes: rows of digests with more than one row are grouped by digest and whole normalised
-    text, merged in each task before the shuffle. A digest with several texts gets a group for each of them.
+    Hits are checked on full bytes: the least and the greatest normalised text of each digest with more than one row must be
+    equal. A digest with several texts gets a group for each of them.
     """
     seen = absorb(spark, table, state or fresh_dir(spark, "exact-state"), id_col, text_col, of)
     text = text_or_empty(text_col)
     rows = spark.read.parquet(table).select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn("norm", normal(F.col("text"))).select("doc_id", F.char_length("text").alias("code_points"), "norm", of(F.col("norm")).alias("digest"))
-    hits = rows.join(seen.where("group_size > 1").select("digest"), "digest", "left_semi")
-    texts = hits.groupBy("digest", "norm").count().groupBy("digest").agg(F.count(F.lit(1)).alias("texts"))
-    checked = written(texts.where("texts > 1"), "checked")
+    # texts of hits meet as their least and greatest, merged in each task first; what else the sieve lets through has one text
+    ends = sieve(rows.select("digest", "norm"), "digest", seen.where("group_size > 1").select("digest")).groupBy("digest").agg(F.min("norm").alias("low"), F.max("norm").alias("high"))
+    checked = written(ends.where("low <> high").select("digest"), "checked")
     false_hits = checked.select("digest")
     slim = rows.select("doc_id", "digest", F.sha2("norm", 256).alias("text_sha256"))
     plain = slim.join(seen, "digest").join(false_hits, "digest", "left_anti").select("doc_id", "keep_id", "group_size", "text_sha256")
