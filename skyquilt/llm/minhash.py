@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -11,10 +12,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, discard, written
+from .common import components, discard, sieve, written
 from .textnum import constants, shingle_sets, sketch
 
-TREES, DEPTH = 8, 8
+#: Trees are grown TREES at a time, of TREES * DEPTH minwise tokens, until a similar pair meets with probability RECALL.
+TREES, DEPTH, RECALL = 8, 8, 0.99
 #: A node is small, and compared exhaustively, up to so many documents and shingles. A node that is not small at full
 #: depth is cut into parts of PART documents.
 SMALL, PART, SMALL_SHINGLES = 128, 512, 4_000_000
@@ -158,20 +160,71 @@ def _part() -> Column:
     return F.pmod(F.xxhash64("key", "id"), F.greatest(F.ceil(F.col("size") / PART), F.ceil(F.col("total") / SMALL_SHINGLES)))
 
 
-def _nodes(reps: DataFrame) -> DataFrame:
-    """(tree, key, id, size, total) of the nodes with two documents or more where branching ends."""
-    alive = reps.select("id", "n", "token", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
-    alive = alive.select("tree", "id", "n", F.substring("token", F.col("tree") * 4 * DEPTH + 1, F.lit(4 * DEPTH)).alias("path"))
+def _grown(reps: DataFrame, turn: int) -> tuple[list[DataFrame], DataFrame]:
+    """TREES trees over reps: the tables of their levels (tree, id, n, path, key, size, total, level), and (id, tree, depth) of the
+    documents that branched below depth 1. Each turn after the first chooses its paths anew from the same minwise tokens."""
+    order = list(range(TREES * DEPTH))
+    if turn:
+        random.Random(turn).shuffle(order)
+    token = F.col("token") if not turn else F.concat(*[F.substring("token", 4 * p + 1, 4) for p in order])
+    alive = reps.select("id", "n", token.alias("token")).select("id", "n", "token", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("place"))
+    alive = alive.select((F.col("place") + turn * TREES).alias("tree"), "id", "n", F.substring("token", F.col("place") * 4 * DEPTH + 1, F.lit(4 * DEPTH)).alias("path"))
     alive = alive.withColumn("key", F.xxhash64("tree", F.substring("path", 1, 4)))
-    ended = None
+    levels = []
     for level in range(DEPTH):
         count = alive.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("total")).where("size > 1")
-        sized = written(alive.join(count, "key"), "level")
-        leaf = (sized if level == DEPTH - 1 else sized.where(~_large())).select("tree", "key", "id", "size", "total")
-        ended = leaf if ended is None else ended.union(leaf)
+        sized = written(alive.join(count, "key").withColumn("level", F.lit(level)), "level")
+        levels.append(sized)
         alive = sized.where(_large()).select("tree", "id", "n", "path", F.xxhash64("key", F.substring("path", F.lit(4 * level + 5), F.lit(4))).alias("key"))
         if level == DEPTH - 1 or alive.isEmpty():
-            return ended
+            break
+    went = levels[0]
+    for more in levels[1:]:
+        went = went.union(more)
+    went = went.where(_large() & (F.col("level") < DEPTH - 1))
+    return levels, went.groupBy("id", "tree").agg((F.max("level") + 2).alias("depth"))
+
+
+def _nodes(reps: DataFrame, percent: int, recall: float) -> DataFrame:
+    """(tree, key, id, size, total), written, of the nodes with two documents or more where branching ends.
+
+    For each document the chance is estimated that a pair at the threshold is missed by all its trees; while it is more than
+    1 - recall the document gets more trees. A pair for which one document has enough trees is found by those.
+
+    Of a pair of similarity s that meets at depth d, d tokens are equal: s ** d where tokens are alike. Where a share q of a text
+    is in passages that many others have, those tokens are equal for sure, and the last one, which is the pair's own, with
+    (s - q) / (1 - q) only. The lesser counts; q is estimated by the document's first tokens that many documents have.
+    """
+    s = min(percent / 100, 0.9999)
+    limit, shallow = math.log(max(1 - recall, 1e-12)), TREES * math.log1p(-s)
+    spark, turn, tables, ended = reps.sparkSession, 0, [], None
+    wanting = reps.select("id", "n", "token", F.lit(0.0).alias("missed"))
+    while True:
+        levels, deep = _grown(wanting, turn)
+        tables += levels
+        for sized in levels:
+            leaf = sized.where(~_large() | (F.col("level") == DEPTH - 1)).select("tree", "key", "id", "size", "total")
+            ended = leaf if ended is None else ended.union(leaf)
+        per = deep.groupBy("id").agg(F.collect_list("depth").alias("depths"))  # TREES of them at most
+        q = (F.size("depths") + 1) / F.lit(TREES + 1.0)
+        own = F.when(q < s, F.greatest((s - q) / (1 - q), F.lit(s**DEPTH))).otherwise(F.lit(s**DEPTH))
+        logs = F.aggregate("depths", F.lit(0.0), lambda sum_, d: sum_ + F.log1p(-F.least(F.pow(F.lit(s), d), F.col("own"))))
+        per = per.withColumn("own", own).select("id", (logs + (TREES - F.size("depths")) * F.log1p(-F.col("own"))).alias("more"))
+        if shallow <= limit:  # then only documents that branched further can want more trees
+            per = written(per.where(F.col("more") > limit), "wanting")
+            tables.append(per)
+            rows = sieve(wanting, "id", per.select("id")).join(per, "id")
+        else:
+            rows = wanting.join(per, "id", "left").withColumn("more", F.coalesce("more", F.lit(shallow)))
+        rows = rows.select("id", "n", "token", (F.col("missed") + F.col("more")).alias("missed")).where(F.col("missed") > limit)
+        wanting = written(rows, "trees")
+        tables.append(wanting)
+        if wanting.isEmpty():
+            break
+        turn += 1
+    out = written(ended, "nodes")
+    discard(spark, *tables)
+    return out
 
 
 def _compare(groups: DataFrame, texts: DataFrame, comps: DataFrame | None, k: int, percent: int) -> DataFrame:
@@ -205,18 +258,20 @@ def _across(large: DataFrame, comps: DataFrame) -> DataFrame:
     return there.union(here).select("key", F.xxhash64("own", "part").alias("part"), "id").distinct()
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", recall: float = RECALL) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row: components of links of shingle-set similarity percent / 100 or more.
 
     Words are runs without white space, A-Z in lower case; a document's set is its distinct runs of k words, the whole
     sequence if it has fewer words, and empty without words or for null, which links with nothing. Links are confirmed
     on full sets of 64-bit shingle hashes. component_id is the smallest id reachable; kept means doc_id = component_id.
 
-    Equal sets are merged first. Then TREES independent trees branch the rest: a document goes to the child of its next
+    Equal sets are merged first. Then independent trees branch the rest: a document goes to the child of its next
     minwise token until a node is small; there all pairs are screened by sketches, and those left compared on whole texts. A pair
-    of similarity s meets in a tree of depth d with probability s^d, and most nodes end at depth 1, so 8 trees miss
-    0.15^8 of pairs at 0.85. After the first tree, only groups that still hold several components are compared. Large nodes
-    at full depth are first compared in parts with common hubs (in the first tree), and then, in every tree, what lies outside the
+    of similarity s meets in a tree of depth d with probability s^d. TREES trees are grown for all documents, and TREES more at a
+    time for those whose nodes lie so deep that a pair at the threshold would be missed more often than in 1 - recall of
+    cases; most nodes end at depth 1, where 8 trees miss 0.15^8 of pairs at 0.85. After the first tree, only groups that still
+    hold several components are compared. Large nodes at full depth are first compared in parts with common hubs (in the first
+    tree of all), and then, in every tree, what lies outside the
     node's largest component with all its parts, so no pair of a node is left out.
 
     Rows of one id are one document; rows with a null id link with nothing and are kept; ties go to the smallest id;
@@ -228,7 +283,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     reps = written(full.groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("token").alias("token")), "reps")
     copies = full.select("id", "digest").join(reps.select("digest", F.col("id").alias("rep")), "digest").where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
 
-    nodes = written(_nodes(reps), "nodes")
+    nodes = _nodes(reps, percent, recall)
     held = nodes.where(~_large()).join(reps.select("id", "n", "token"), "id").select("tree", "key", "id", "n", "token").repartition("key").sortWithinPartitions("key")
     small = written(held.mapInArrow(lambda it: _screened(it, percent), "tree int, key long, id long, part long"), "screened")
     large = written(nodes.where(_large()), "large")
