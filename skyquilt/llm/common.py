@@ -92,6 +92,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Large-star and small-star turns over written tables; each turn shuffles the edges twice, and the number of
     turns grows with the logarithm of the longest path. Nothing about the graph but two counts reaches the driver.
+    Edges with a null end and loops are left out, repeated edges count once, and no edges give an empty result.
     """
     spark = edges.sparkSession
     now = written(edges.where("a is not null and b is not null and a <> b")

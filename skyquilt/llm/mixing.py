@@ -109,6 +109,10 @@ def mix(docs: DataFrame, target_entropy: float | None = None, max_repeats: float
 
 
 def realised(mixed: DataFrame, seed: int = 17, id_col: str = "doc_id") -> DataFrame:
-    """One row for each time a row of mix() is taken, with mix_pass from 0 and mix_rank, by which a pass is permuted."""
+    """One row for each time a row of mix() is taken, with mix_pass from 0 and mix_rank, by which a pass is permuted.
+
+    mix_rank orders the whole pass, not the blocks by which mix() ends a budget. A null id has a rank as any other; rows of one
+    id share theirs; columns of these two names are replaced; rows taken no times go; an empty table gives an empty result.
+    """
     out = mixed.where("mix_copies > 0").withColumn("mix_pass", F.explode(F.sequence(F.lit(0).cast("long"), F.col("mix_copies") - 1)))
     return out.withColumn("mix_rank", F.xxhash64(F.lit(seed), "mix_pass", F.col(f"`{id_col}`")))
