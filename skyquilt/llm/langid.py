@@ -15,8 +15,10 @@ from .textnum import chunks
 
 #: The sample that a language is learned from: so many documents, chosen by a hash of their id, a piece of so many characters of each.
 SAMPLE_DOCS, PIECE = 64, 200
-#: A text is parsed in blocks of so many symbols, each from its own start.
+#: Symbols of a text that are parsed beside others; the parse runs on across the ends of such blocks, so the size changes no result.
 BLOCK = 256
+#: Turns in which all blocks whose entry was wrong are mended at once; afterwards only the first such block of each text is.
+TURNS = 3
 OTHER, GAP = 0, 1  # codes of letters outside the samples and of everything that is not a letter
 
 
@@ -108,27 +110,65 @@ class Model:
         return code[~(gap & np.concatenate([[False], gap[:-1]]))] if len(code) else code
 
     def phrases(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(phrases by language and text, symbols by text); a text without a letter has no symbols."""
+        """(phrases by language and text, symbols by text); a text without a letter has no symbols.
+
+        All blocks are parsed at once from the root first. Then each is parsed again from the state in which the block before it
+        ended, beside the parse there was, until both are in one state: from there on they are the same.
+        """
         coded = [self.symbols(np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)) for t in texts]
         coded = [c if (c != GAP).any() else c[:0] for c in coded]
         size = np.array([len(c) for c in coded])
-        lanes = [(i, a, min(a + BLOCK, len(c))) for i, c in enumerate(coded) for a in range(0, len(c), BLOCK)]
-        lanes.sort(key=lambda x: x[1] - x[2])
-        grid = np.zeros((len(lanes), BLOCK), np.uint16)
-        for row, (i, a, b) in enumerate(lanes):
-            grid[row, : b - a] = coded[i][a:b]
-        grid = np.ascontiguousarray(grid.T)
-        length = np.array([b - a for _, a, b in lanes])
-        count = np.ones((len(self.languages), len(lanes)), np.int32)
-        state = np.repeat(np.array(self.root, self.table.dtype)[:, None], len(lanes), axis=1)
-        for step in range(int(length[0]) if len(lanes) else 0):
-            n = int(np.searchsorted(-length, -step, side="left"))
-            went = self.table[state[:, :n] + grid[step, :n]]
+        flat = np.concatenate([*coded, np.zeros(0, np.uint16)])
+        blocks = -(-size // BLOCK)
+        text = np.repeat(np.arange(len(coded)), blocks)
+        place = np.arange(len(text)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+        begin = np.repeat(np.cumsum(size) - size, blocks) + place * BLOCK
+        length = np.minimum(BLOCK, size[text] - place * BLOCK)
+        width = len(text)
+        root = np.repeat(np.array(self.root, self.table.dtype), width)  # state by language and block, flat
+        ends, end = np.zeros(len(root), np.int32), root.copy()
+        by = np.argsort(-length, kind="stable")
+        state = root.reshape(-1, width)[:, by]
+        count = np.zeros(state.shape, np.int32)
+        for step in range(int(length.max(initial=0))):
+            n = int(np.searchsorted(-length[by], -step, side="left"))
+            went = self.table[state[:, :n] + flat[begin[by[:n]] + step]]
             count[:, :n] += went & 1
             state[:, :n] = went >> 1
+        ends.reshape(-1, width)[:, by], end.reshape(-1, width)[:, by] = count, state
+        entry = root
+        stale = np.flatnonzero(np.tile(place > 0, len(self.languages)))
+        turn = 0
+        while len(stale):
+            now = stale
+            if turn >= TURNS:
+                _, first = np.unique(stale // width * len(coded) + text[stale % width], return_index=True)
+                now = stale[first]
+            turn += 1
+            differs = now[entry[now] != end[now - 1]]
+            old, new, at = entry[differs], end[differs - 1], differs
+            entry[differs] = new
+            changed = []
+            for step in range(BLOCK):
+                if not len(at):
+                    break
+                symbol = flat[begin[at % width] + step]
+                was, went = self.table[old + symbol], self.table[new + symbol]
+                ends[at] += ((went & 1) - (was & 1)).astype(np.int32)
+                old, new = was >> 1, went >> 1
+                apart, over = old != new, length[at % width] == step + 1
+                if (done := apart & over).any():
+                    changed.append(at[done])
+                    end[at[done]] = new[done]
+                keep = apart & ~over
+                old, new, at = old[keep], new[keep], at[keep]
+            after = np.concatenate([*changed, np.zeros(0, np.int64)]) + 1
+            after = after[after % width != 0]
+            after = after[place[after % width] > 0]
+            stale = np.union1d(np.setdiff1d(stale, now), after)
         out = np.zeros((len(self.languages), len(texts)), np.int64)
-        np.add.at(out, (slice(None), np.array([i for i, _, _ in lanes], int)), count)
-        return out, size
+        np.add.at(out, (slice(None), text), ends.reshape(-1, width))
+        return out + (size > 0), size
 
     def predict(self, texts: Sequence[str | None]) -> list[tuple[str, float, int | None]]:
         """(language or und, score, phrases) for each text."""
@@ -168,7 +208,7 @@ def identify(docs: DataFrame, samples, text_col: str = "text") -> DataFrame:
     lang_pred is a language of the samples, or und with score 0 for null, texts without a letter, and when nothing was
     learned. lang_score is b / (a + b) of the normalised phrase counts a of the best and b of the second language, so 0.5 is a
     tie, which goes to the first language by name; 1 with one language only. Phrase counts are normalised by the log of the
-    sample's length. A text of any length is parsed whole, in blocks; all other columns pass through untouched.
+    sample's length. A text of any length is parsed whole; all other columns pass through untouched.
     """
     docs = docs.drop("lang_pred", "lang_score", "lang_phrases")
 

@@ -454,6 +454,20 @@ def test_phrases_are_greedy_longest_matches():
     assert size.tolist() == [len(t) for t in texts]
 
 
+@pytest.mark.parametrize("block", [1, 3, 7, 256])
+def test_phrases_run_across_blocks(monkeypatch, block):
+    monkeypatch.setattr(langid, "BLOCK", block)
+    pieces = {"a": ["the river and the stone", "under the table", "ababababab"], "b": ["der fluss und der stein", "xyxyxyx unter dem tisch"], "c": ["q"]}
+    m = langid.Model(pieces)
+    rng = np.random.default_rng(9)
+    parts = ["the river", " und der", "ab", "xy", "tisch ", "ö", "q", "under the stone ", "fluss"]
+    texts = ["", "ab" * 90, "xy" * 40 + "x", "q", "... 12", *("".join(rng.choice(parts, rng.integers(1, 60))) for _ in range(40))]
+    found, size = m.phrases(texts)
+    for k, language in enumerate(m.languages):
+        for i, t in enumerate(texts):
+            assert found[k, i] == (slow_phrases(re.sub(r"[^a-zö]+", " ", t), pieces[language]) if size[i] else 0), (language, t)
+
+
 def test_language_identification(docs, rows, empty, clashing):
     samples = langid.learn(docs.where("doc_id % 4 <> 0"))
     got = langid.identify(docs, samples).collect()
