@@ -11,7 +11,7 @@ from .langid import identify, learn
 from .line_dedup import WHOLE, line_decisions
 from .lm import score
 from .minhash import near_duplicates
-from .mixing import mix
+from .mixing import mix, realised
 from .packing import pack
 from .quality import judge
 from .resharding import read_shards, rewrite_affected, solve
@@ -76,8 +76,9 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mix(documents(spark, sf_dir))
-    return mixed.select("doc_id", "source", "mix_tokens", "mix_weight", "mix_budget", "mix_copies")
+    """A row for each time that a document is taken, with its place: by pass, turn, block, rank and key."""
+    mixed = realised(mix(documents(spark, sf_dir)))
+    return mixed.select("doc_id", "source", "mix_tokens", "mix_weight", "mix_budget", "mix_copies", "mix_pass", "mix_turn", "mix_block", "mix_rank", "mix_key")
 
 
 QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_reshard, op3_best_fit_packing, op4_quality_rules, op5_fuzzy_line_dedup, op6_exact_dedup, op7_crf_secrets, op8_gru_scoring, op9_language_id, op10_temperature_mixing)}

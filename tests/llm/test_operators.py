@@ -514,6 +514,30 @@ def test_mix(docs, rows, monkeypatch, budget, block):
     assert abs(sum({r["source"]: r["mix_weight"] for r in got}.values()) - 1) < 1e-9
 
 
+@pytest.mark.parametrize("block", [8, 16_384])
+def test_last_pass_is_the_first_part_of_its_permutation(docs, monkeypatch, block):
+    monkeypatch.setattr(mixing, "BLOCK_ROWS", block)
+    m = mixing.mix(docs, budget=2_000, max_repeats=None)
+    by = defaultdict(list)
+    for r in m.collect():
+        by[r["source"]].append(r)
+    whole = {k: min(r["mix_copies"] for r in g) for k, g in by.items()}
+    passes = docs.sparkSession.createDataFrame([(k, v) for k, v in whole.items()], "s string, p long")
+    every = m.join(passes, m["source"].eqNullSafe(passes["s"])).where("mix_tokens > 0").withColumn("mix_copies", F.col("p") + 1)
+    order = sorted((r for r in mixing.realised(every).collect() if r["mix_pass"] == r["p"]), key=lambda r: (r["mix_turn"], r["mix_block"], r["mix_rank"], r["mix_key"]))
+    some = 0
+    for k, g in by.items():
+        more = {r["mix_key"] for r in g if r["mix_copies"] > whole[k] and r["mix_tokens"]}
+        keys = list(dict.fromkeys(r["mix_key"] for r in order if r["source"] == k))
+        assert set(keys[: len(more)]) == more
+        some += 0 < len(more) < len(keys)
+    assert some
+    blocks = defaultdict(set)
+    for r in mixing.realised(m).collect():
+        blocks[r["source"], r["mix_pass"], r["mix_turn"]].add(r["mix_block"])
+    assert all(len(b) == 1 for b in blocks.values())
+
+
 def test_mix_edges(docs, empty, clashing, rows):
     assert mixing.mix(empty).count() == 0 and mixing.mix(clashing).count() == len(rows)
     m = mixing.mix(docs)
