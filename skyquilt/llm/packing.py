@@ -9,11 +9,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import n_words, written
+from .common import WORD, n_words, written
 
 #: Pieces aimed at in a block; each block is packed alone, in one task, over slim rows.
 BLOCK_ROWS = 4_096
-SCHEMA = "doc_id long, piece int, start long, n_tokens long, bin_id string, offset long"
+SCHEMA = "doc_id long, piece int, start long, n_tokens long, bin_id string, offset long, cluster long"
+COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
 
 
 def best_fit(items: Iterable[tuple[int, int, int]], capacity: int) -> list[tuple[int, int]]:
@@ -55,11 +56,12 @@ def _pack_block(pdf: pd.DataFrame, capacity: int) -> pd.DataFrame:
         items.append((int(n), 1 << bits.setdefault(None if source is None or source != source else source, len(bits)), 1 << own.setdefault(cluster, len(own)) if cluster in repeated else 0))
     placed = best_fit(items, capacity)
     block = pdf["block"].iloc[0]
-    return pdf.assign(bin_id=[f"b{block}-{b}" for b, _ in placed], offset=[o for _, o in placed])[["doc_id", "piece", "start", "n_tokens", "bin_id", "offset"]]
+    return pdf.assign(bin_id=[f"b{block}-{b}" for b, _ in placed], offset=[o for _, o in placed])[COLUMNS]
 
 
 def pack(docs: DataFrame, capacity: int = 2_048, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 23) -> DataFrame:
-    """Pieces of all documents in bins of `capacity` tokens (words): doc_id, piece, start, n_tokens, bin_id, offset.
+    """Pieces of all documents in bins of `capacity` tokens (words): doc_id, piece, start, n_tokens, bin_id, offset, and cluster,
+    a hash of the text.
 
     A text longer than a bin is cut into whole pieces of a bin each and a rest, so nothing is lost. Whole pieces fill a
     bin alone; other pieces are packed by best_fit, longest first, within blocks of rows dealt by hash, so that a bin
@@ -74,8 +76,26 @@ def pack(docs: DataFrame, capacity: int = 2_048, id_col: str = "doc_id", text_co
     blocks = max(1, -(-rows // BLOCK_ROWS))
     cut = F.lit(capacity)
     whole = slim.where(F.col("n") >= cut).withColumn("piece", F.explode(F.sequence(F.lit(0), F.floor(F.col("n") / cut).cast("int") - 1)))
-    whole = whole.select("doc_id", "piece", (F.col("piece") * cut).cast("long").alias("start"), F.lit(capacity).cast("long").alias("n_tokens"), F.concat(F.lit("w"), "again", F.lit("-"), "piece").alias("bin_id"), F.lit(0).cast("long").alias("offset"))
+    whole = whole.select("doc_id", "piece", (F.col("piece") * cut).cast("long").alias("start"), F.lit(capacity).cast("long").alias("n_tokens"), F.concat(F.lit("w"), "again", F.lit("-"), "piece").alias("bin_id"), F.lit(0).cast("long").alias("offset"), "cluster")
     rest = slim.where((F.col("n") % cut) > 0).select("doc_id", F.floor(F.col("n") / cut).cast("int").alias("piece"), (F.col("n") - F.col("n") % cut).alias("start"), (F.col("n") % cut).alias("n_tokens"), "source", "cluster", "again", F.pmod(F.xxhash64(F.lit(seed), "again"), F.lit(blocks)).alias("block"))
     packed = rest.groupBy("block").applyInPandas(lambda pdf: _pack_block(pdf, capacity), SCHEMA)
-    none = slim.where("n = 0").select("doc_id", F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("n_tokens"), F.lit(None).cast("string").alias("bin_id"), F.lit(None).cast("long").alias("offset"))
-    return packed.unionByName(whole.select("doc_id", "piece", "start", "n_tokens", "bin_id", "offset")).unionByName(none)
+    none = slim.where("n = 0").select("doc_id", F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("n_tokens"), F.lit(None).cast("string").alias("bin_id"), F.lit(None).cast("long").alias("offset"), "cluster")
+    return packed.unionByName(whole.select(*COLUMNS)).unionByName(none)
+
+
+def with_texts(packed: DataFrame, docs: DataFrame, capacity: int = 2_048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """pack()'s pieces with piece_text: the text as it is where it is one piece, else the piece's words with a space between.
+
+    docs and capacity are those of pack(). Rows of one id and text share one copy of it in the join, so texts are shuffled once;
+    a text is cut once, whatever the number of its pieces. Null texts give an empty piece_text; rows of a null id have
+    theirs; an empty table gives an empty result.
+    """
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    once = docs.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.xxhash64(text).alias("_cluster"), text.alias("_text")).groupBy("_id", "_cluster").agg(F.first("_text").alias("_text"))
+    cut = F.lit(capacity)
+    last = F.floor((F.size("_words") - 1) / cut).cast("int")
+    parts = F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice("_words", i * cut + 1, cut), " "))
+    long = n_words("_text") > cut
+    once = once.withColumn("_words", F.when(long, F.regexp_extract_all("_text", F.lit(WORD), F.lit(0)))).withColumn("_parts", F.when(F.col("_words").isNull(), F.array("_text")).otherwise(parts)).select("_id", "_cluster", "_parts")
+    same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_cluster") == F.col("cluster"))
+    return once.join(packed, same).select(*packed.columns, F.get("_parts", F.col("piece")).alias("piece_text"))

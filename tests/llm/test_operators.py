@@ -191,6 +191,24 @@ def test_pack(docs, rows, empty, clashing, monkeypatch):
     assert packing.pack(empty).count() == 0 and packing.pack(clashing).count() >= len(rows)
 
 
+def test_pieces_have_their_texts(docs, rows, empty, clashing):
+    capacity = 64
+    got = packing.with_texts(packing.pack(docs, capacity), docs, capacity).collect()
+    texts = defaultdict(Counter)
+    for r in docs.collect():
+        texts[r["doc_id"]][r["text"] or ""] += 1
+    want = Counter()
+    for i, own in texts.items():
+        for t, times in own.items():
+            words = WORD.findall(t)
+            for k in range(max(1, -(-len(words) // capacity))):
+                want[i, k, " ".join(words[k * capacity : (k + 1) * capacity]) if len(words) > capacity else t] += times
+    assert Counter((r["doc_id"], r["piece"], r["piece_text"]) for r in got) == want
+    assert all(len(WORD.findall(r["piece_text"])) == r["n_tokens"] for r in got)
+    assert packing.with_texts(packing.pack(empty), empty).count() == 0
+    assert packing.with_texts(packing.pack(clashing), clashing).count() >= len(rows)
+
+
 # -- 4 ---------------------------------------------------------------------------------------------------------
 def plain_features(text):
     text = text or ""
