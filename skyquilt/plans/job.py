@@ -22,6 +22,14 @@ from ..sources import fits_source, sinks
 IMAGE = "SourceID string, RA double, Dec double, diameter_pixel int, diameter_arcsec double, row_idx long, batch long, batch_index long, size int, images array<array<float>>, wcs array<" + W.WCS_TYPE + ">, channel_keys array<string>, original_cutout_size int, rescaled_offset_x double, rescaled_offset_y double"
 
 
+def _number(card: str) -> Any:
+    """A header card's value as a number, if it is one."""
+    try:
+        return float(card)
+    except (TypeError, ValueError):
+        return card
+
+
 class CutoutJob:
     """Settings and a catalogue (a path or a DataFrame) to batches, images, files and previews."""
 
@@ -41,6 +49,25 @@ class CutoutJob:
             raw = raw.withColumn(name, F.nanvl(F.col(name).cast(kind), F.lit(None).cast(kind)) if name in raw.columns else F.lit(None).cast(kind))
         return catalogue.preprocessed(raw)
 
+    def problems(self, rows: DataFrame) -> list[str]:
+        """Why the files of rows (of catalogue()) cannot serve them: files that cannot be read, and sources sized in pixels whose files differ in scale.
+
+        Every file's header is read once, by the tasks; files and conflicts are counted, and three of each named.
+        """
+        files = catalogue.distinct_files(rows).select("path").persist()
+        heads = self.headers(files).select("path", "ext", "wcs").persist()
+        out = []
+        missing = files.join(heads.select("path").distinct(), "path", "left_anti")
+        if n := missing.count():
+            out.append(f"{n} files cannot be read: {', '.join(r['path'] for r in missing.orderBy('path').limit(3).collect())}")
+        scales = heads.where(F.col("ext").isin(C.extension_names(self.config))).groupBy("path").agg(F.min(W.pixel_scale(F.col("wcs"))).alias("scale"))
+        conflicts = catalogue.resolution_conflicts(rows, scales)
+        if n := conflicts.count():
+            out.append(f"{n} sources have a size in pixels and files of different scales: {', '.join(r['SourceID'] for r in conflicts.orderBy('SourceID').limit(3).collect())}")
+        heads.unpersist()
+        files.unpersist()
+        return out
+
     def batched(self, rows: DataFrame, most: int | None = None) -> DataFrame:
         """rows with batch and batch_index by the sets of files that they share. Rows without files have none and are left out."""
         most = most or batching.max_sources(rows.count(), C.lookup(self.config, "loadbalancer.max_sources_per_process"))
@@ -56,7 +83,7 @@ class CutoutJob:
         files = catalogue.distinct_files(rows).select("path")
         heads = self.headers(files).where(F.col("ext").isin(names))
         heads = heads.withColumn("ext_no", F.array_position(F.array(*[F.lit(n) for n in names]), F.col("ext")).cast("int") - 1)
-        out = cutouts.on_tiles(rows, heads.drop("header", "bitpix"), float(self.config["padding_factor"]))
+        out = cutouts.on_tiles(rows, heads.drop("bitpix", *([] if self.config.get("user_flux_conversion_function") else ["header"])), float(self.config["padding_factor"]))
         return cutouts.keys(out).withColumn("channel_no", F.col("channel_no") * len(names) + F.col("ext_no"))
 
     def headers(self, files: DataFrame) -> DataFrame:
@@ -98,7 +125,7 @@ class CutoutJob:
                 px = np.asarray(r.px, np.float64).reshape(r.n, r.n)
                 if flux:
                     if function is not None:
-                        px = function(px, {"MAGZERO": r.magzero})
+                        px = function(px, {k: _number(v) for k, v in dict(r.header).items()} | {"MAGZERO": r.magzero})
                     elif r.magzero is None or r.magzero != r.magzero:
                         raise ValueError(f"no zero point in {r.path}")
                     else:
@@ -141,9 +168,11 @@ class CutoutJob:
         return rows.mapInPandas(run, IMAGE)
 
     # -- runs --------------------------------------------------------------------------------------------------
-    def run(self, source: str | DataFrame | None = None) -> dict[str, Any]:
+    def run(self, source: str | DataFrame | None = None, skip_fits_check: bool = False) -> dict[str, Any]:
         """Write all cutouts, metadata and the mapping; a failure is reported in the result, not raised.
 
+        A catalogue that is given by path is held against its files first (problems()) unless skip_fits_check.
+
         Sources of which no image was written, because they lie off their tiles or have no file that can be read, count as failed.
         """
         self.started = time.time()
@@ -152,6 +181,8 @@ class CutoutJob:
             source = self.config["source_catalogue"] if source is None else source
             self.spark.sparkContext.setJobGroup(self.group, "cutouts", True)
             whole = self.catalogue(source)
+            if isinstance(source, str) and not skip_fits_check and (errors := self.problems(whole)):
+                raise catalogue.CatalogueError("; ".join(errors))
             rows = self.batched(whole).persist()
             root, total = self.config["output_dir"], whole.count()
             self._tell(status="running", total_sources=total)

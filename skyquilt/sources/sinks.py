@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import math
 import os
+import time
 from collections.abc import Iterator, Mapping
 
 import numpy as np
@@ -62,7 +63,7 @@ def write_fits(cutouts: DataFrame, folder: str, data_type: str = "float32", stre
                 else:
                     os.makedirs(os.path.dirname(at), exist_ok=True)
                     planes = [np.asarray(p, dtype=data_type).reshape(r.size, r.size) for p in r.images]
-                    meta = {"source_id": r.SourceID, "ra": r.RA, "dec": r.Dec, "diameter_arcsec": r.diameter_arcsec, "diameter_pixel": r.diameter_pixel}
+                    meta = {"source_id": r.SourceID, "ra": r.RA, "dec": r.Dec, "diameter_arcsec": r.diameter_arcsec, "diameter_pixel": r.diameter_pixel, "processing_timestamp": time.time()}
                     meta = {k: v for k, v in meta.items() if v is not None and v == v}
                     heads = [None if w is None else dict(w if isinstance(w, dict) else w.asDict()) for w in (r.wcs if r.wcs is not None else [None] * len(planes))]
                     with open(f"{at}.part-{os.getpid()}", "wb") as f:

@@ -87,6 +87,33 @@ def test_failures_are_reported(spark, sky):
     assert CutoutJob(spark, config(d)).run(f"{d}/nothing.parquet")["status"] == "failed"
 
 
+def test_files_are_checked_before_a_run(spark, sky):
+    d, images = sky
+    with open(f"{d}/coarse.fits", "wb") as f:
+        f.write(fits.image_hdu(images["VIS"], [*fits.wcs_cards(WCS | {"cd11": -3e-4, "cd22": 3e-4}), ("MAGZERO", 25.0)], primary=True))
+    of = lambda name, files: spark.createDataFrame([("a", 180.0, 0.0, 9, files), ("b", 180.0, 0.0, 9, f"{d}/VIS.fits")], "SourceID string, RA double, Dec double, diameter_pixel int, fits_file_paths string").write.mode("overwrite").parquet(f"{d}/{name}")
+    of("lost.parquet", f"['{d}/VIS.fits', '{d}/nowhere.fits']")
+    of("scales.parquet", f"['{d}/VIS.fits', '{d}/coarse.fits']")
+    job = CutoutJob(spark, config(d, output_dir=f"{d}/checked"))
+    found = job.run(f"{d}/lost.parquet")
+    assert found["error_type"] == "CatalogueError" and "nowhere.fits" in found["error"] and "scale" not in found["error"]
+    found = job.run(f"{d}/scales.parquet")
+    assert found["error_type"] == "CatalogueError" and "1 sources" in found["error"] and "scales: a" in found["error"]
+    assert job.run(f"{d}/lost.parquet", skip_fits_check=True)["status"] == "completed"
+
+
+def test_flux_function_gets_the_header(spark, sky):
+    d, images = sky
+    c = config(d, output_dir=f"{d}/own", output_format="fits", do_only_cutout_extraction=True, apply_flux_conversion=True, channel_weights={"VIS": [1.0], "NIR-H": [0.0]}, user_flux_conversion_function=lambda px, header: px * 0 + header["CRPIX1"] + header["NAXIS2"])
+    done = CutoutJob(spark, c).run()
+    assert done["status"] == "completed", done
+    with open(f"{d}/own/s10_180.000000_0.000000_cutout.fits", "rb") as f:
+        parts = list(fits.extensions(f))
+        name, h, at = parts[1][1:]
+        assert np.all(fits.window(f, h, at, 0, h["NAXIS2"], 0, h["NAXIS1"]) == 150.5)
+        assert parts[0][2]["PROCTIME"] > 1.6e9
+
+
 def test_stream_gives_every_source_once(spark, sky):
     d, _ = sky
     for synchronised in (True, False):
