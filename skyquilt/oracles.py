@@ -129,6 +129,12 @@ ORACLES = {
     "nhwc_to_nchw": f"WITH {_IMG} SELECT vec_id, (i % 4) * 16 + i // 4 AS i, round(v, 6) AS value FROM p",
     "nchw_to_nhwc": f"WITH {_IMG} SELECT vec_id, (i % 16) * 4 + i // 16 AS i, round(v, 6) AS value FROM p",
     "nearest_resize": f"WITH {_IMG}, k AS (SELECT t, CAST(least(7, trunc((t + 0.5) * 8 / 5)) AS INT) AS s FROM range(5) x(t)) SELECT vec_id, ky.t * 5 + kx.t AS i, round(v, 6) AS value FROM k ky, k kx JOIN p ON p.i = ky.s * 8 + kx.s",
+    "drizzle_resize": f"WITH {_IMG}, w AS (SELECT t, s, greatest(0, least(s + 1, (t + 1) * 1.6::DOUBLE) - greatest(s, t * 1.6::DOUBLE)) AS w FROM range(5) x(t), range(8) y(s)) SELECT vec_id, y.t * 5 + x.t AS i, round(sum(y.w * x.w * v), 9) AS value FROM p JOIN w y ON y.s = i // 8 JOIN w x ON x.s = i % 8 GROUP BY ALL",
+    "bilinear_resize": f"""WITH {_IMG}, g AS (SELECT k, exp(-0.5 * (k / 0.3) ** 2) / sum(exp(-0.5 * (k / 0.3) ** 2)) OVER () AS g FROM range(-1, 2) x(k)),
+        l AS (SELECT t, CASE WHEN s < 0 THEN -1 - s WHEN s > 7 THEN 15 - s ELSE s END AS m, 1 - abs((t + 0.5) * 1.6 - 0.5 - s)::DOUBLE AS w FROM range(5) x(t), range(-1, 9) y(s) WHERE abs((t + 0.5) * 1.6 - 0.5 - s) < 1),
+        w AS (SELECT t, CASE WHEN m + k < 0 THEN -1 - m - k WHEN m + k > 7 THEN 15 - m - k ELSE m + k END AS s, sum(w * g) AS w FROM l, g GROUP BY ALL)
+        SELECT vec_id, y.t * 5 + x.t AS i, round(sum(y.w * x.w * v), 9) AS value FROM p JOIN w y ON y.s = i // 8 JOIN w x ON x.s = i % 8 GROUP BY ALL""",
+    "fits_roundtrip": f"WITH {_IMG} SELECT vec_id, i, round(v, 9) AS value FROM p",
     "block_sum_resize": f"WITH {_IMG} SELECT vec_id, (i // 16) * 4 + (i % 8) // 2 AS i, round(sum(v), 6) AS value FROM p GROUP BY 1, 2",
     "preview_rgb": f"""WITH {_IMG}, c AS (SELECT vec_id, i, b, CASE WHEN vec_id % 3 = 0 THEN v WHEN vec_id % 3 = 1 AND b = 2 THEN 0 ELSE v * (b + 1) END AS x FROM p, range(3) t(b)),
         r AS (SELECT vec_id, min(x) AS lo, max(x) AS hi FROM c GROUP BY 1) SELECT vec_id, i * 3 + b AS i, CASE WHEN hi > lo THEN trunc((x - lo) / (hi - lo) * 255) ELSE 0 END AS value FROM c JOIN r USING (vec_id)""",
