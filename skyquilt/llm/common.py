@@ -19,10 +19,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, set to a temporary one only where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a temporary one in local mode (tests);
+    on a cluster that is an error, as executors would write to folders of their own."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not found:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: it must name a folder that driver and executors share")
         sc.setCheckpointDir(found := tempfile.mkdtemp(prefix="skyquilt-"))
         found = sc.getCheckpointDir()
     return found.rstrip("/")

@@ -570,3 +570,13 @@ def test_sieve_keeps_every_match(spark):
     rows = spark.range(0, 100_000).select((F.col("id") * 7919 - 5_000_000).alias("k"), F.lit("x").alias("_text"))
     kept = {r["k"] for r in sieve(rows, "k", ids).collect()}
     assert {i * 7919 - 5_000_000 for i in range(3000)} <= kept and len(kept) < 3600
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    from types import SimpleNamespace as Some
+
+    from skyquilt.llm.common import shared_dir
+
+    conf = Some(get=lambda key: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Some(sparkContext=Some(master="spark://host:7077", getConf=lambda: conf, getCheckpointDir=lambda: None)))
