@@ -8,28 +8,41 @@ import numpy as np
 
 HIDDEN, PER_CLASS, WINDOW, TRAIN_LANES, SCORE_LANES = 16, 64, 24, 256, 1024
 RATE = 0.08
+#: Sums of exponentials of numbers up to this in size are normal numbers of single precision.
+SAFE = 60.0
 #: Long documents are learned from in segments of so many tokens, side by side; scoring carries the state through all of a document.
 SEGMENT = 1_024
 _F = np.float32
 LOG10 = np.log(10.0)
 
 
-def _soft(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(probabilities, log of the sum) of rows of logits."""
-    top = x.max(axis=1, keepdims=True)
-    e = np.exp(x - top)
-    s = e.sum(axis=1, keepdims=True)
-    return e / s, (np.log(s) + top)[:, 0]
+def _soft(x: np.ndarray, bound: float) -> np.ndarray:
+    """The probabilities of rows of logits, none larger in size than bound; x is overwritten."""
+    if bound >= SAFE:
+        x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x /= (x @ np.ones(x.shape[1], _F))[:, None]
+    return x
 
 
-def _log_sum(x: np.ndarray) -> np.ndarray:
-    """Log of the sum of the exponentials of each row; x is overwritten."""
+def _log_sum(x: np.ndarray, bound: float) -> np.ndarray:
+    """Log of the sum of the exponentials of each row; x is overwritten. No number of x is larger in size than bound: where that is
+    small, the exponentials need no shift by each row's greatest."""
+    if bound < SAFE:
+        np.exp(x, out=x)
+        return np.log(x @ np.ones(x.shape[1], _F))
     top = x.max(axis=1, keepdims=True)
     x -= top
     np.exp(x, out=x)
     return np.log(x.sum(axis=1)) + top[:, 0]
 
 
+def _bounds(w: dict[str, np.ndarray]) -> tuple[float, np.ndarray]:
+    """What no logit of a class exceeds in size, and none of a word in each class, as states are between -1 and 1."""
+    outer = (np.abs(w["class"]).sum(axis=0) + np.abs(w["class_bias"])).max(initial=0)
+    return float(outer), (np.abs(w["word"]).sum(axis=2) + np.abs(w["word_bias"])).max(axis=1, initial=0)
+
+
 def lanes(docs: Sequence[np.ndarray], width: int) -> tuple[list[list[int]], np.ndarray]:
     """Documents dealt to at most `width` lanes, longest first to the shortest lane; lanes by falling length, and the lengths."""
     import heapq
@@ -128,6 +141,7 @@ class Model:
         out = np.zeros(len(docs))
         dealt = Lanes(docs, SCORE_LANES)
         state, before = np.zeros((len(dealt.size), HIDDEN), _F), np.zeros(len(dealt.size), np.int32)
+        outer, inners = _bounds(self.weights)
         for _, steps in dealt.windows():
             seen = []
             for at in steps:
@@ -141,11 +155,11 @@ class Model:
             y = dealt.token[at]
             logits = s @ self.weights["class"]
             logits += self.weights["class_bias"]
-            got = logits[np.arange(len(y)), self._kinds(y)] - _log_sum(logits)
+            got = logits[np.arange(len(y)), self._kinds(y)] - _log_sum(logits, outer)
             for c, where in self._groups(y):
                 inner = s[where] @ self.weights["word"][c].T
                 inner += self.weights["word_bias"][c]
-                got[where] += inner[np.arange(len(where)), y[where] % PER_CLASS] - _log_sum(inner)
+                got[where] += inner[np.arange(len(where)), y[where] % PER_CLASS] - _log_sum(inner, inners[c])
             out += np.bincount(dealt.doc[at], got, len(docs))
         return out / LOG10
 
@@ -173,7 +187,8 @@ class Model:
             y = dealt.token[at]
             p = s @ w["class"]
             p += w["class_bias"]
-            p = _soft(p)[0]
+            most, mosts = _bounds(w)
+            p = _soft(p, most)
             p[np.arange(len(y)), self._kinds(y)] -= 1
             grads = {"class": s.T @ p, "class_bias": p.sum(axis=0), "word": np.zeros_like(w["word"]), "word_bias": np.zeros_like(w["word_bias"]), "turn": np.zeros_like(w["turn"])}
             back = p @ w["class"].T
@@ -181,7 +196,7 @@ class Model:
                 own = s[where]
                 q = own @ w["word"][c].T
                 q += w["word_bias"][c]
-                q = _soft(q)[0]
+                q = _soft(q, mosts[c])
                 q[np.arange(len(where)), y[where] % PER_CLASS] -= 1
                 grads["word"][c], grads["word_bias"][c] = q.T @ own, q.sum(axis=0)
                 back[where] += q @ w["word"][c]

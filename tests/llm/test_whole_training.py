@@ -30,3 +30,15 @@ def test_a_very_long_document_takes_the_memory_of_its_tokens():
     tracemalloc.stop()
     assert peak < 100 << 20
     assert abs(scores[0] - model.log10(docs[:1])[0]) < 1e-2 and len(scores) == 601
+
+
+def test_sums_of_exponentials_hold_whatever_the_bound():
+    import numpy as np
+
+    from skyquilt.llm import gru
+
+    x = np.random.default_rng(4).normal(0, 8, (50, 64)).astype(np.float32)
+    exact = np.log(np.exp(x.astype(float)).sum(axis=1))
+    for y, bound in ((x, float(np.abs(x).max())), (x, np.inf), (x + 500, np.inf), (x - 500, np.inf)):
+        assert np.allclose(gru._log_sum(y.copy(), bound), exact + (y - x)[:, 0], rtol=1e-5)
+        assert np.allclose(gru._soft(y.copy(), bound), np.exp(x - exact[:, None]), atol=1e-4)
